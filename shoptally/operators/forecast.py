@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -29,26 +29,29 @@ FEATURES = (
 # Model name -> prediction column, in the order that decides ties.
 MODELS = {"naive": "naive_pred", "rolling_avg": "rolling_pred", "linear_regression": "linreg_pred"}
 
-_ORDER = series(["series_id"], "month")
+
+def _in_order() -> WindowSpec:
+    return series(["series_id"], "month")
 
 
 def drop_partial_month(monthly: DataFrame) -> DataFrame:
     """Drop a series' last month if its orders are under half the mean of the six before."""
-    typical = trailing(F.avg, F.col("orders"), _ORDER, 6)
-    is_last = F.lead("month").over(_ORDER).isNull()
+    order = _in_order()
+    typical = trailing(F.avg, F.col("orders"), order, 6)
+    is_last = F.lead("month").over(order).isNull()
     partial = is_last & F.coalesce(F.col("orders") < PARTIAL_SHARE * typical, F.lit(False))
     return monthly.withColumn("_partial", partial).where(~F.col("_partial")).drop("_partial")
 
 
 def forecast_features(monthly: DataFrame) -> DataFrame:
     """Features that look back only; warm-up rows without full history are dropped."""
-    revenue = F.col("revenue")
-    lag_1, lag_2 = (F.lag(revenue, n).over(_ORDER) for n in (1, 2))
+    order, revenue = _in_order(), F.col("revenue")
+    lag_1, lag_2 = (F.lag(revenue, n).over(order) for n in (1, 2))
     return monthly.withColumns(
         {
             "previous_month_revenue": lag_1,
-            "previous_3_month_avg_revenue": trailing_full(F.avg, revenue, _ORDER, 3),
-            "previous_6_month_avg_revenue": trailing_full(F.avg, revenue, _ORDER, 6),
+            "previous_3_month_avg_revenue": trailing_full(F.avg, revenue, order, 3),
+            "previous_6_month_avg_revenue": trailing_full(F.avg, revenue, order, 6),
             "month_number": F.month("month"),
             "quarter": F.quarter("month"),
             "revenue_growth_rate": ratio(lag_1 - lag_2, lag_2),

@@ -2,44 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, DateType, DecimalType, LongType, StringType, StructField, StructType
 
+_ID, _COUNT, _TEXT, _DAY = LongType(), LongType(), StringType(), DateType()
+_PRICE, _AMOUNT = DecimalType(10, 2), DecimalType(12, 2)
 
-def _schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+
+def _schema(**columns: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in columns.items()])
 
 
 # Parents before children, so that a foreign key never precedes its target.
 SCHEMAS: dict[str, StructType] = {
     "customers": _schema(
-        "customer_id BIGINT, first_name STRING, last_name STRING, email STRING, city STRING, "
-        "segment STRING, signup_date DATE"
-    ),
-    "stores": _schema(
-        "store_id BIGINT, store_name STRING, city STRING, state STRING, region STRING, open_date DATE"
-    ),
-    "products": _schema(
-        "product_id BIGINT, product_name STRING, category STRING, unit_price DECIMAL(10,2), "
-        "unit_cost DECIMAL(10,2)"
+        customer_id=_ID, first_name=_TEXT, last_name=_TEXT, email=_TEXT, city=_TEXT, segment=_TEXT, signup_date=_DAY
     ),
+    "stores": _schema(store_id=_ID, store_name=_TEXT, city=_TEXT, state=_TEXT, region=_TEXT, open_date=_DAY),
+    "products": _schema(product_id=_ID, product_name=_TEXT, category=_TEXT, unit_price=_PRICE, unit_cost=_PRICE),
     "orders": _schema(
-        "order_id BIGINT, customer_id BIGINT, store_id BIGINT, order_date DATE, channel STRING, "
-        "order_status STRING"
+        order_id=_ID, customer_id=_ID, store_id=_ID, order_date=_DAY, channel=_TEXT, order_status=_TEXT
     ),
     "order_items": _schema(
-        "order_item_id BIGINT, order_id BIGINT, product_id BIGINT, quantity BIGINT, "
-        "unit_price DECIMAL(10,2), line_total DECIMAL(12,2)"
+        order_item_id=_ID, order_id=_ID, product_id=_ID, quantity=_COUNT, unit_price=_PRICE, line_total=_AMOUNT
     ),
     "inventory": _schema(
-        "inventory_id BIGINT, store_id BIGINT, product_id BIGINT, snapshot_date DATE, "
-        "stock_level BIGINT, reorder_level BIGINT"
-    ),
-    "returns": _schema(
-        "return_id BIGINT, order_id BIGINT, product_id BIGINT, return_date DATE, return_reason STRING"
+        inventory_id=_ID, store_id=_ID, product_id=_ID, snapshot_date=_DAY, stock_level=_COUNT, reorder_level=_COUNT
     ),
+    "returns": _schema(return_id=_ID, order_id=_ID, product_id=_ID, return_date=_DAY, return_reason=_TEXT),
     "marketing_campaigns": _schema(
-        "campaign_id BIGINT, campaign_name STRING, city_target STRING, channel STRING, "
-        "start_date DATE, end_date DATE, budget DECIMAL(12,2), spend DECIMAL(12,2)"
+        campaign_id=_ID,
+        campaign_name=_TEXT,
+        city_target=_TEXT,
+        channel=_TEXT,
+        start_date=_DAY,
+        end_date=_DAY,
+        budget=_AMOUNT,
+        spend=_AMOUNT,
     ),
 }
 
