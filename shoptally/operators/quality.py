@@ -8,7 +8,7 @@ counts are combined map-side before they are shuffled, so repeated keys are no h
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -36,96 +36,101 @@ MIN_ORDERS = 30_000
 
 @dataclass(frozen=True)
 class Check:
-    name: str | Column
-    passed: Column
-    detail: Column
+    """A named check over a one-row DataFrame of counts; `passed` and `detail` are SQL expressions."""
 
+    category: str
+    name: str
+    passed: str
+    detail: str
 
-def _text(*parts: str | Column) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def none_of(name: str, bad_rows: Column, what: str) -> Check:
-    return Check(name, bad_rows == 0, _text(bad_rows, f" {what}"))
 
+def none_of(category: str, name: str, count: str, what: str) -> Check:
+    """Passes if the counted offenders are none."""
+    return Check(category, name, f"{count} = 0", f"concat({count}, {_quoted(' ' + what)})")
 
-def _rows(profile: DataFrame, checks: Sequence[tuple[str, Check]]) -> DataFrame:
-    """Check rows from a one-row DataFrame of counts."""
-    options = [
-        F.struct(
-            F.lit(category).alias("category"),
-            (F.lit(c.name) if isinstance(c.name, str) else c.name).alias("check"),
-            F.when(c.passed, PASS).otherwise(FAIL).alias("status"),
-            c.detail.alias("detail"),
-        )
-        for category, c in checks
-    ]
-    return profile.select(F.inline(F.array(*options)))
+
+def _rows(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    options = ", ".join(
+        f"named_struct('category', {_quoted(c.category)}, 'check', {_quoted(c.name)}, "
+        f"'status', if({c.passed}, '{PASS}', '{FAIL}'), 'detail', {c.detail})"
+        for c in checks
+    )
+    return counts.selectExpr(f"inline(array({options}))")
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+    return reduce(DataFrame.unionAll, frames)
+
 
+def _total(value: str, name: str) -> Column:
+    return F.expr(f"coalesce(sum({value}), 0) AS {name}")
 
-def _total(value: Column) -> Column:
-    return F.coalesce(F.sum(value), F.lit(0))
 
+def _any_null(columns: Sequence[str]) -> str:
+    return "(" + " OR ".join(f"`{c}` IS NULL" for c in columns) + ")"
 
-def _any_null(columns: Sequence[str]) -> Column:
-    return reduce(Column.__or__, [F.col(c).isNull() for c in columns])
 
+def _null_cells(columns: Sequence[str]) -> str:
+    return "(" + " + ".join(f"int(`{c}` IS NULL)" for c in columns) + ")"
 
-def _null_cells(columns: Sequence[str]) -> Column:
-    return reduce(Column.__add__, [F.col(c).isNull().cast("int") for c in columns])
+
+def _counted(df: DataFrame, columns: Sequence[str | Column]) -> DataFrame:
+    """Distinct values of the columns with their row count `n`, combined map-side."""
+    return df.groupBy(*columns).agg(F.expr("count(*) AS n"))
 
 
 def _surplus(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: how many rows repeat an earlier value of the columns (nulls are equal)."""
-    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).agg(_total(F.col("n") - 1).alias("surplus"))
+    return _counted(df, columns).agg(_total("n - 1", "surplus"))
 
 
 # --- structure: keys, duplicates, missing values --------------------------------------------
 
 
-def _key_checks(table: str, key: Sequence[str]) -> list[tuple[str, Check]]:
-    name = f"{table}.{'+'.join(key)}"
-    category = "Primary key uniqueness"
+def _key_checks(table: str, key: Sequence[str]) -> list[Check]:
+    name, category = f"{table}.{'+'.join(key)}", "Primary key uniqueness"
     return [
-        (category, none_of(f"{name} has no nulls", F.col("key_nulls"), "nulls")),
-        (category, none_of(f"{name} is unique", F.col("key_surplus"), "duplicate values")),
+        none_of(category, f"{name} has no nulls", "key_nulls", "nulls"),
+        none_of(category, f"{name} is unique", "key_surplus", "duplicate values"),
     ]
 
 
-def _duplicate_check(table: str) -> tuple[str, Check]:
-    check = none_of(f"{table} has no exact duplicate rows", F.col("surplus"), "duplicate rows")
-    return "Duplicate detection", check
+def _duplicate_check(table: str) -> Check:
+    return none_of("Duplicate detection", f"{table} has no exact duplicate rows", "surplus", "duplicate rows")
 
 
-def _missing_check(table: str) -> tuple[str, Check]:
-    check = none_of(f"{table} has zero nulls across all columns", F.col("null_cells"), "null cells")
-    return "Missing values", check
+def _missing_check(table: str) -> Check:
+    return none_of("Missing values", f"{table} has zero nulls across all columns", "null_cells", "null cells")
 
 
-def primary_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
-    def of(table: str) -> DataFrame:
-        per_key = tables[table].groupBy(*keys[table]).agg(F.count(F.lit(1)).alias("n"))
-        counts = per_key.agg(
-            _total(F.when(_any_null(keys[table]), F.col("n"))).alias("key_nulls"),
-            _total(F.col("n") - 1).alias("key_surplus"),
-        )
-        return _rows(counts, _key_checks(table, keys[table]))
+def _key_counts(key: Sequence[str]) -> list[Column]:
+    return [_total(f"if({_any_null(key)}, n, 0)", "key_nulls"), _total("n - 1", "key_surplus")]
 
-    return _union([of(t) for t in tables])
+
+def primary_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
+    return _union(
+        [
+            _rows(_counted(df, keys[t]).agg(*_key_counts(keys[t])), _key_checks(t, keys[t]))
+            for t, df in tables.items()
+        ]
+    )
 
 
 def semantic_duplicates(order_items: DataFrame, customers: DataFrame) -> DataFrame:
     """Rows with different keys that state the same fact."""
-    pair = none_of("order_items has no repeated (order_id, product_id) pairs", F.col("surplus"), "repeated pairs")
-    email = none_of("customers.email is unique", F.col("surplus"), "duplicate emails")
+    category = "Duplicate detection"
+    pairs = none_of(
+        category, "order_items has no repeated (order_id, product_id) pairs", "surplus", "repeated pairs"
+    )
+    emails = none_of(category, "customers.email is unique", "surplus", "duplicate emails")
     return _union(
         [
-            _rows(_surplus(order_items, ["order_id", "product_id"]), [("Duplicate detection", pair)]),
-            _rows(_surplus(customers, ["email"]), [("Duplicate detection", email)]),
+            _rows(_surplus(order_items, ["order_id", "product_id"]), [pairs]),
+            _rows(_surplus(customers, ["email"]), [emails]),
         ]
     )
 
@@ -138,7 +143,7 @@ def duplicates(tables: Mapping[str, DataFrame]) -> DataFrame:
 def missing_values(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _union(
         [
-            _rows(df.agg(_total(_null_cells(df.columns)).alias("null_cells")), [_missing_check(t)])
+            _rows(df.agg(_total(_null_cells(df.columns), "null_cells")), [_missing_check(t)])
             for t, df in tables.items()
         ]
     )
@@ -148,12 +153,14 @@ def missing_by_column(tables: Mapping[str, DataFrame], only_missing: bool = True
     """Null count per table and column, in one aggregation per table."""
 
     def of(table: str, df: DataFrame) -> DataFrame:
-        counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
-        cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("null_count")) for c in df.columns]
-        return counts.select(F.lit(table).alias("table_name"), F.inline(F.array(*cells)))
+        counts = df.agg(*[F.expr(f"count_if(`{c}` IS NULL) AS `{c}`") for c in df.columns])
+        cells = ", ".join(f"{_quoted(c)}, `{c}`" for c in df.columns)
+        return counts.selectExpr(
+            f"{_quoted(table)} AS table_name", f"stack({len(df.columns)}, {cells}) AS (column_name, null_count)"
+        )
 
     listed = _union([of(t, df) for t, df in tables.items()])
-    return listed.where(F.col("null_count") > 0) if only_missing else listed
+    return listed.where("null_count > 0") if only_missing else listed
 
 
 def structure(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -162,23 +169,22 @@ def structure(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]
     Rows are counted per distinct row, and those counts per key.
     """
 
-    def of(table: str) -> DataFrame:
-        df, key = tables[table], keys[table]
-        per_row = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
-        per_key = per_row.groupBy(*key).agg(
-            F.sum("n").alias("n"),
-            F.sum(F.col("n") - 1).alias("extra"),
-            F.sum(_null_cells(df.columns) * F.col("n")).alias("nulls"),
-        )
-        counts = per_key.agg(
-            _total(F.when(_any_null(key), F.col("n"))).alias("key_nulls"),
-            _total(F.col("n") - 1).alias("key_surplus"),
-            _total(F.col("extra")).alias("surplus"),
-            _total(F.col("nulls")).alias("null_cells"),
+    def of(table: str, df: DataFrame) -> DataFrame:
+        key = keys[table]
+        per_key = (
+            _counted(df, df.columns)
+            .withColumnRenamed("n", "copies")
+            .groupBy(*key)
+            .agg(
+                F.expr("sum(copies) AS n"),
+                F.expr("sum(copies - 1) AS extra"),
+                F.expr(f"sum({_null_cells(df.columns)} * copies) AS nulls"),
+            )
         )
+        counts = per_key.agg(*_key_counts(key), _total("extra", "surplus"), _total("nulls", "null_cells"))
         return _rows(counts, [*_key_checks(table, key), _duplicate_check(table), _missing_check(table)])
 
-    return _union([of(t) for t in tables])
+    return _union([of(t, df) for t, df in tables.items()])
 
 
 # --- references -------------------------------------------------------------------------------
@@ -189,9 +195,9 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataF
 
     Child values are counted first, so the join sees each value once.
     """
-    values = child.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
     known = parent.select(F.col(key).alias("value"))
-    return values.join(known, "value", "left_anti").agg(_total(F.col("n")).alias("orphans"))
+    values = _counted(child, [F.col(column).alias("value")])
+    return values.join(known, "value", "left_anti").agg(_total("n", "orphans"))
 
 
 def referential_integrity(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -199,16 +205,15 @@ def referential_integrity(tables: Mapping[str, DataFrame]) -> DataFrame:
     relations = [
         _rows(
             orphans(tables[child], column, tables[parent], key),
-            [(category, none_of(f"{child}.{column} -> {parent}.{key}", F.col("orphans"), "orphaned rows"))],
+            [none_of(category, f"{child}.{column} -> {parent}.{key}", "orphans", "orphaned rows")],
         )
         for child, column, parent, key in FOREIGN_KEYS
     ]
-    cities = tables["stores"].select("city").distinct()
+    strangers = orphans(tables["marketing_campaigns"], "city_target", tables["stores"], "city")
     known_city = none_of(
-        "marketing_campaigns.city_target is a known city", F.col("orphans"), "unrecognised city values"
+        category, "marketing_campaigns.city_target is a known city", "orphans", "unrecognised city values"
     )
-    strangers = orphans(tables["marketing_campaigns"], "city_target", cities, "city")
-    return _union([*relations, _rows(strangers, [(category, known_city)])])
+    return _union([*relations, _rows(strangers, [known_city])])
 
 
 # --- values -----------------------------------------------------------------------------------
@@ -216,17 +221,19 @@ def referential_integrity(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def temporal_integrity(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders before their customer's signup, counted per (customer, day) before the join."""
-    per_day = orders.groupBy("customer_id", "order_date").agg(F.count(F.lit(1)).alias("n"))
-    early = F.col("order_date") < F.col("signup_date")
-    counts = per_day.join(customers.select("customer_id", "signup_date"), "customer_id").agg(
-        _total(F.when(early, F.col("n"))).alias("early")
+    signups = customers.select("customer_id", "signup_date")
+    counts = (
+        _counted(orders, ["customer_id", "order_date"])
+        .join(signups, "customer_id")
+        .agg(_total("if(order_date < signup_date, n, 0)", "early"))
     )
     check = none_of(
+        "Temporal integrity",
         "orders.order_date >= customers.signup_date",
-        F.col("early"),
+        "early",
         "orders precede their customer's signup date",
     )
-    return _rows(counts, [("Temporal integrity", check)])
+    return _rows(counts, [check])
 
 
 def temporal_offenders(orders: DataFrame, customers: DataFrame, shown: int = 10) -> DataFrame:
@@ -241,128 +248,113 @@ def temporal_offenders(orders: DataFrame, customers: DataFrame, shown: int = 10)
     )
 
 
+# Table -> (check, condition that must never hold, what its offenders are called).
+VALUE_RULES = {
+    "products": [
+        ("products.unit_price > 0", "unit_price <= 0", "non-positive prices"),
+        ("products.unit_cost > 0", "unit_cost <= 0", "non-positive costs"),
+        (
+            "products.unit_cost < unit_price (positive margin)",
+            "NOT coalesce(unit_cost < unit_price, false)",
+            "products priced at or below cost",
+        ),
+    ],
+    "order_items": [
+        ("order_items.quantity > 0", "quantity <= 0", "non-positive quantities"),
+        ("order_items.unit_price > 0", "unit_price <= 0", "non-positive unit prices"),
+        (
+            "order_items.line_total == quantity * unit_price",
+            f"abs(round(quantity * unit_price, 2) - line_total) > {LINE_TOLERANCE}",
+            "mismatched line totals",
+        ),
+    ],
+    "inventory": [
+        ("inventory.stock_level >= 0", "stock_level < 0", "negative stock levels"),
+        ("inventory.reorder_level >= 0", "reorder_level < 0", "negative reorder levels"),
+    ],
+    "marketing_campaigns": [
+        ("marketing_campaigns.budget > 0", "budget <= 0", "non-positive budgets"),
+        ("marketing_campaigns.spend >= 0", "spend < 0", "negative spend values"),
+        ("marketing_campaigns.start_date <= end_date", "start_date > end_date", "campaigns with end before start"),
+    ],
+}
+
+
 def invalid_values(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Typed, non-null values that make no business sense; one pass per table."""
-    price, cost = F.col("unit_price"), F.col("unit_cost")
-    expected = F.round(F.col("quantity") * price, 2)
-    off = F.abs(expected - F.col("line_total")) > F.lit(LINE_TOLERANCE).cast("decimal(4,2)")
-    rules: dict[str, list[tuple[str, Column, str]]] = {
-        "products": [
-            ("products.unit_price > 0", price <= 0, "non-positive prices"),
-            ("products.unit_cost > 0", cost <= 0, "non-positive costs"),
-            (
-                "products.unit_cost < unit_price (positive margin)",
-                ~F.coalesce(cost < price, F.lit(False)),
-                "products priced at or below cost",
-            ),
-        ],
-        "order_items": [
-            ("order_items.quantity > 0", F.col("quantity") <= 0, "non-positive quantities"),
-            ("order_items.unit_price > 0", price <= 0, "non-positive unit prices"),
-            ("order_items.line_total == quantity * unit_price", off, "mismatched line totals"),
-        ],
-        "inventory": [
-            ("inventory.stock_level >= 0", F.col("stock_level") < 0, "negative stock levels"),
-            ("inventory.reorder_level >= 0", F.col("reorder_level") < 0, "negative reorder levels"),
-        ],
-        "marketing_campaigns": [
-            ("marketing_campaigns.budget > 0", F.col("budget") <= 0, "non-positive budgets"),
-            ("marketing_campaigns.spend >= 0", F.col("spend") < 0, "negative spend values"),
-            (
-                "marketing_campaigns.start_date <= end_date",
-                F.col("start_date") > F.col("end_date"),
-                "campaigns with end before start",
-            ),
-        ],
-    }
     category = "Invalid values"
 
-    def of(df: DataFrame, wanted: list[tuple[str, Column, str]]) -> DataFrame:
-        counts = df.agg(*[F.count_if(bad).alias(f"bad_{i}") for i, (_, bad, _) in enumerate(wanted)])
+    def of(table: str) -> DataFrame:
+        rules = VALUE_RULES[table]
+        counts = tables[table].agg(*[F.expr(f"count_if({bad}) AS bad_{i}") for i, (_, bad, _) in enumerate(rules)])
         return _rows(
-            counts,
-            [(category, none_of(name, F.col(f"bad_{i}"), what)) for i, (name, _, what) in enumerate(wanted)],
+            counts, [none_of(category, name, f"bad_{i}", what) for i, (name, _, what) in enumerate(rules)]
         )
 
     ordered = tables["orders"].select("order_id", "order_date")
     dated = (
-        tables["returns"]
-        .groupBy("order_id", "return_date")
-        .agg(F.count(F.lit(1)).alias("n"))
+        _counted(tables["returns"], ["order_id", "return_date"])
         .join(ordered, "order_id")
-        .agg(_total(F.when(F.col("return_date") < F.col("order_date"), F.col("n"))).alias("early"))
+        .agg(_total("if(return_date < order_date, n, 0)", "early"))
     )
-    late_enough = none_of(
-        "returns.return_date >= the order's order_date", F.col("early"), "returns dated before their order"
-    )
-    return _union(
-        [*[of(tables[t], wanted) for t, wanted in rules.items()], _rows(dated, [(category, late_enough)])]
+    in_order = none_of(
+        category, "returns.return_date >= the order's order_date", "early", "returns dated before their order"
     )
+    return _union([*[of(table) for table in VALUE_RULES], _rows(dated, [in_order])])
 
 
 def ranges(customers: DataFrame, orders: DataFrame, signup_from: str, signup_to: str) -> DataFrame:
     """Key values in 1..n, signups within their window, and a floor on the order volume."""
-    n = customers.agg(F.count(F.lit(1))).scalar()
+    category, what = "Ranges", "out-of-range values"
+    headcount = customers.agg(F.expr("count(*)")).scalar()
     in_orders = orders.agg(
-        F.count_if(~F.col("customer_id").between(F.lit(1), n)).alias("strange"), F.count(F.lit(1)).alias("orders")
-    )
-    in_customers = customers.agg(
-        F.count_if(~F.col("signup_date").between(F.lit(signup_from).cast("date"), F.lit(signup_to).cast("date"))).alias(
-            "outside"
-        )
+        F.count_if(~F.col("customer_id").between(F.lit(1), headcount)).alias("strange"),
+        F.expr("count(*) AS orders"),
     )
+    window = f"DATE '{signup_from}' AND DATE '{signup_to}'"
+    in_customers = customers.agg(F.expr(f"count_if(signup_date NOT BETWEEN {window}) AS outside"))
     volume = Check(
-        f"orders has more than {MIN_ORDERS} rows", F.col("orders") > MIN_ORDERS, _text(F.col("orders"), " rows")
+        category, f"orders has more than {MIN_ORDERS} rows", f"orders > {MIN_ORDERS}", "concat(orders, ' rows')"
     )
     return _union(
         [
             _rows(
-                in_orders,
-                [
-                    (
-                        "Ranges",
-                        none_of("orders.customer_id in 1..customer count", F.col("strange"), "out-of-range values"),
-                    ),
-                    ("Ranges", volume),
-                ],
-            ),
-            _rows(
-                in_customers,
-                [("Ranges", none_of("customers.signup_date in window", F.col("outside"), "out-of-range values"))],
+                in_orders, [none_of(category, "orders.customer_id in 1..customer count", "strange", what), volume]
             ),
+            _rows(in_customers, [none_of(category, "customers.signup_date in window", "outside", what)]),
         ]
     )
 
 
-def _share_text(label: str, share: Column) -> Column:
-    return F.format_string(f"{label}%.1f%%", half_up(share * 100, 1))
+def _percent_text(prefix: str, column: str, sign: str = "") -> str:
+    return f"format_string({_quoted(prefix + '%' + sign + '.1f%%')}, {column})"
 
 
 def business_distributions(orders: DataFrame) -> DataFrame:
-    counts = orders.agg(
-        ratio(F.count_if(F.col("channel") == "online"), F.count("channel")).alias("online"),
-        ratio(F.count_if(F.col("order_status") == CANCELLED), F.count(F.lit(1))).alias("cancelled"),
-    )
     category = "Business distributions"
-    online, cancelled = F.coalesce("online", F.lit(0.0)), F.col("cancelled")
+    online = F.coalesce(ratio(F.count_if(F.col("channel") == "online"), F.count("channel")), F.lit(0.0))
+    cancelled = ratio(F.count_if(F.col("order_status") == CANCELLED), F.count(F.lit(1)))
+    counts = orders.agg(online.alias("online"), cancelled.alias("cancelled")).select(
+        "*", half_up(F.col("online") * 100, 1).alias("online_pct"), half_up(F.col("cancelled") * 100, 1).alias("cancel_pct")
+    )
+
+    def within(bounds: tuple[float, float], column: str) -> str:
+        return f"{column} BETWEEN {bounds[0]}D AND {bounds[1]}D"
+
     return _rows(
         counts,
         [
-            (
+            Check(
                 category,
-                Check(
-                    "online channel share is within 45%-65%",
-                    online.between(*ONLINE_SHARE),
-                    _share_text("actual online share: ", online),
-                ),
+                "online channel share is within 45%-65%",
+                within(ONLINE_SHARE, "online"),
+                _percent_text("actual online share: ", "online_pct"),
             ),
-            (
+            Check(
                 category,
-                Check(
-                    "cancellation rate is within 2%-10%",
-                    cancelled.between(*CANCEL_RATE),
-                    _share_text("actual cancellation rate: ", cancelled),
-                ),
+                "cancellation rate is within 2%-10%",
+                within(CANCEL_RATE, "cancelled"),
+                _percent_text("actual cancellation rate: ", "cancel_pct"),
             ),
         ],
     )
@@ -378,8 +370,8 @@ def missing_months(orders: DataFrame, customers: DataFrame) -> DataFrame:
         span = df.agg(F.min(date).alias("lo"), F.max(date).alias("hi"))
         expected = span.select(F.explode(months(F.col("lo"), F.col("hi"))).alias("month"))
         present = df.select(month_of(date).alias("month")).distinct()
-        counts = expected.join(present, "month", "left_anti").agg(F.count(F.lit(1)).alias("gaps"))
-        return _rows(counts, [("Time-series validation", none_of(name, F.col("gaps"), what))])
+        counts = expected.join(present, "month", "left_anti").agg(F.expr("count(*) AS gaps"))
+        return _rows(counts, [none_of("Time-series validation", name, "gaps", what)])
 
     return _union(
         [
@@ -440,27 +432,36 @@ def anomaly_changes(
 
 def focus_anomaly(changes: DataFrame, city: str) -> DataFrame:
     """The focus city must have dropped by at least 20%."""
-    counts = changes.where(F.col("city") == city).agg(*[F.max(c).alias(c) for c in ("pre", "post", "change")])
-    changed = F.format_string("%+.1f%%", half_up(F.col("change") * 100, 1))
-    detail = _text(f"{city} changed ", changed, " (", F.format_number("pre", 0), " -> ", F.format_number("post", 0), ")")
+    counts = (
+        changes.where(F.col("city") == city)
+        .agg(*[F.expr(f"max({c}) AS {c}") for c in ("pre", "post", "change")])
+        .withColumn("change_pct", half_up(F.col("change") * 100, 1))
+    )
+    moved = _percent_text(f"{city} changed ", "change_pct", "+")
     check = Check(
+        "Focus anomaly",
         f"{city} revenue drops by at least 20% in the anomaly window",
-        F.col("change") <= FOCUS_DROP,
-        F.coalesce(detail, F.lit("no revenue to compare")),
+        f"change <= {FOCUS_DROP}D",
+        f"coalesce(concat({moved}, ' (', format_number(pre, 0), ' -> ', format_number(post, 0), ')'), "
+        "'no revenue to compare')",
     )
-    return _rows(counts, [("Focus anomaly", check)])
+    return _rows(counts, [check])
 
 
 def anomaly_isolated(changes: DataFrame, city: str) -> DataFrame:
     """No other city may have moved by more than 25% over the same months."""
-    largest = F.coalesce(F.max(F.abs(F.col("change"))), F.lit(0.0))
-    counts = changes.where(F.col("city") != city).agg(largest.alias("largest"))
+    counts = (
+        changes.where(F.col("city") != city)
+        .agg(F.expr("coalesce(max(abs(change)), 0D) AS largest"))
+        .withColumn("largest_pct", half_up(F.col("largest") * 100, 1))
+    )
     check = Check(
+        "Focus anomaly",
         f"every city but {city} stays within +/-25% over the same window",
-        F.col("largest") <= OTHERS_WITHIN,
-        F.format_string("largest change among other cities: %+.1f%%", half_up(F.col("largest") * 100, 1)),
+        f"largest <= {OTHERS_WITHIN}D",
+        _percent_text("largest change among other cities: ", "largest_pct", "+"),
     )
-    return _rows(counts, [("Focus anomaly", check)])
+    return _rows(counts, [check])
 
 
 # --- the battery ----------------------------------------------------------------------------------
@@ -508,79 +509,63 @@ def category_summary(checks: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class TableRules:
-    """What a built table must satisfy."""
+    """What a built table must satisfy.  `never` maps a check to a condition that must not hold."""
 
     key: Sequence[str]
     non_negative: Sequence[str] = ()
     min_rows: int | Column = 1
-    within: Mapping[str, tuple[int, int]] | None = None
+    within: Mapping[str, tuple[int, int]] = field(default_factory=dict)
     whole_row_unique: bool = False
-    never: Mapping[str, Column] | None = None
+    never: Mapping[str, str] = field(default_factory=dict)
 
 
 def table_profile(name: str, df: DataFrame, rules: TableRules) -> DataFrame:
     """One row: table, rows, columns and the outcome of each rule, in one pass over the table."""
-    within, never = rules.within or {}, rules.never or {}
-    bad: dict[str, Column] = {}
-    texts: dict[str, tuple[str, str]] = {}
-
-    def rule(check: str, condition: Column, what: str) -> None:
-        slot = f"bad_{len(bad)}"
-        bad[slot], texts[slot] = condition, (check, what)
-
-    for check, condition in never.items():
-        rule(check, condition, "violation(s)")
-    for column in rules.non_negative:
-        rule(f"{column} >= 0", F.col(column) < 0, "negative row(s)")
-    for column, (lo, hi) in within.items():
-        rule(f"{column} in [{lo}, {hi}]", ~F.col(column).between(lo, hi), "out-of-range row(s)")
-
+    bad = [
+        *[(check, condition, "violation(s)") for check, condition in rules.never.items()],
+        *[(f"{c} >= 0", f"`{c}` < 0", "negative row(s)") for c in rules.non_negative],
+        *[
+            (f"{c} in [{lo}, {hi}]", f"`{c}` NOT BETWEEN {lo} AND {hi}", "out-of-range row(s)")
+            for c, (lo, hi) in rules.within.items()
+        ],
+    ]
     if rules.whole_row_unique:
-        per_row = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-        extra = F.sum(F.col("_n") - 1)
-        weight = F.col("_n")
+        rows, copies = _counted(df, df.columns).withColumnRenamed("n", "copies"), "copies"
     else:
-        per_row, extra, weight = df, F.lit(0), F.lit(1)
-    per_key = per_row.groupBy(*rules.key).agg(
-        F.sum(weight).alias("_rows"),
-        extra.alias("_extra"),
-        *[F.sum(F.when(condition, weight)).alias(slot) for slot, condition in bad.items()],
+        rows, copies = df, "1"
+    per_key = rows.groupBy(*rules.key).agg(
+        F.expr(f"sum({copies}) AS n"),
+        F.expr(f"sum({copies} - 1) AS extra"),
+        *[F.expr(f"sum(if({condition}, {copies}, 0)) AS bad_{i}") for i, (_, condition, _) in enumerate(bad)],
     )
+    floor = rules.min_rows if isinstance(rules.min_rows, Column) else F.lit(rules.min_rows)
     counts = per_key.agg(
-        _total(F.col("_rows")).alias("row_count"),
-        _total(F.col("_rows") - 1).alias("key_surplus"),
-        _total(F.when(_any_null(rules.key), F.col("_rows"))).alias("key_nulls"),
-        _total(F.col("_extra")).alias("extra"),
-        *[_total(F.col(slot)).alias(slot) for slot in bad],
-    )
+        _total("n", "row_count"),
+        *_key_counts(rules.key),
+        _total("extra", "surplus"),
+        *[_total(f"bad_{i}", f"bad_{i}") for i in range(len(bad))],
+    ).withColumn("floor", floor)
 
     listed = str(list(rules.key))
     checks = [
-        none_of(f"unique primary key {listed}", F.col("key_surplus"), "duplicate(s)"),
-        none_of(f"no missing primary key {listed}", F.col("key_nulls"), "missing"),
+        (f"unique primary key {listed}", "key_surplus", "duplicate(s)"),
+        (f"no missing primary key {listed}", "key_nulls", "missing"),
+        *([("no fully duplicate rows", "surplus", "duplicate row(s)")] if rules.whole_row_unique else []),
+        *[(check, f"bad_{i}", what) for i, (check, _, what) in enumerate(bad)],
     ]
-    if rules.whole_row_unique:
-        checks.append(none_of("no fully duplicate rows", F.col("extra"), "duplicate row(s)"))
-    checks += [none_of(check, F.col(slot), what) for slot, (check, what) in texts.items()]
-    floor = rules.min_rows if isinstance(rules.min_rows, Column) else F.lit(rules.min_rows)
-    checks.append(
-        Check(_text("row count >= ", floor), F.col("row_count") >= floor, _text(F.col("row_count"), " rows"))
-    )
-    outcome = F.array(
-        *[
-            F.struct(
-                (F.lit(c.name) if isinstance(c.name, str) else c.name).alias("check"),
-                F.coalesce(c.passed, F.lit(False)).alias("passed"),
-                c.detail.alias("detail"),
-            )
-            for c in checks
-        ]
+    outcomes = [
+        f"named_struct('check', {_quoted(check)}, 'passed', {count} = 0, 'detail', concat({count}, {_quoted(' ' + what)}))"
+        for check, count, what in checks
+    ]
+    outcomes.append(
+        "named_struct('check', concat('row count >= ', floor), 'passed', coalesce(row_count >= floor, false), "
+        "'detail', concat(row_count, ' rows'))"
     )
-    return counts.select(
-        F.lit(name).alias("table_name"),
-        F.col("row_count"),
-        F.lit(len(df.columns)).alias("column_count"),
-        outcome.alias("checks"),
+    return counts.selectExpr(
+        f"{_quoted(name)} AS table_name",
+        "row_count",
+        f"{len(df.columns)} AS column_count",
+        f"array({', '.join(outcomes)}) AS checks",
     )
 
 
@@ -589,32 +574,31 @@ def table_profiles(tables: Mapping[str, tuple[DataFrame, TableRules]]) -> DataFr
 
 
 def table_checks(profiles: DataFrame) -> DataFrame:
-    return profiles.select("table_name", F.inline("checks"))
-
-
-def _passed() -> Column:
-    return F.size(F.filter("checks", lambda c: c["passed"]))
+    return profiles.selectExpr("table_name", "inline(checks)")
 
 
-def _status() -> Column:
-    return F.when(_passed() == F.size("checks"), PASS).otherwise(FAIL)
+_PASSED = "size(filter(checks, c -> c.passed))"
+_STATUS = f"if({_PASSED} = size(checks), '{PASS}', '{FAIL}') AS status"
 
 
 def table_summary(profiles: DataFrame) -> DataFrame:
-    return profiles.select(
-        "table_name",
-        F.size("checks").alias("total_checks"),
-        _passed().alias("passed_checks"),
-        _status().alias("status"),
+    return profiles.selectExpr(
+        "table_name", "size(checks) AS total_checks", f"{_PASSED} AS passed_checks", _STATUS
     )
 
 
 def final_listing(profiles: DataFrame) -> DataFrame:
-    return profiles.select("table_name", "row_count", "column_count", _status().alias("status"))
+    return profiles.selectExpr("table_name", "row_count", "column_count", _STATUS)
 
 
-def analytics_rules(customers: DataFrame, stores: DataFrame, products: DataFrame, campaigns: DataFrame,
-                    orders: DataFrame, as_of: Column) -> dict[str, TableRules]:
+def analytics_rules(
+    customers: DataFrame,
+    stores: DataFrame,
+    products: DataFrame,
+    campaigns: DataFrame,
+    orders: DataFrame,
+    as_of: Column,
+) -> dict[str, TableRules]:
     """Rules of the analytics tables; expected sizes are counted from the raw tables."""
 
     def size(df: DataFrame) -> Column:
@@ -623,13 +607,12 @@ def analytics_rules(customers: DataFrame, stores: DataFrame, products: DataFrame
     span = date_bounds(orders, "order_date")
     day_count = F.datediff(span["hi"], span["lo"]) + 1
     month_count = F.size(months(span["lo"], F.add_months(as_of, -1)))
-    early = F.col("first_order_date") < F.col("signup_date")
     return {
         "customer_summary": TableRules(
             ["customer_id"],
             ["total_spent", "total_orders", "total_items"],
             size(customers),
-            never={"no order before signup_date": early},
+            never={"no order before signup_date": "first_order_date < signup_date"},
         ),
         "daily_sales": TableRules(
             ["date", "store_id"], ["revenue", "orders", "units_sold"], day_count * size(stores)
