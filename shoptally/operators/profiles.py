@@ -30,13 +30,10 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def value_shares(df: DataFrame, column: str) -> DataFrame:
     """Distinct values with their count and share of all rows."""
-    everything = F.sum("n").over(W.partitionBy())
-    return (
-        df.groupBy(F.col(column).alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            F.lit(column).alias("attribute"), "value", "n", half_up(ratio(F.col("n"), everything), 4).alias("share")
-        )
+    counts = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    everything = counts.agg(F.sum("n")).scalar()
+    return counts.select(
+        F.lit(column).alias("attribute"), "value", "n", half_up(ratio(F.col("n"), everything), 4).alias("share")
     )
 
 
@@ -166,19 +163,21 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     If all values are equal the range is widened by a half on both sides.
     """
     values = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
-    bounds = values.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("b")).scalar()
-    single = bounds["lo"] == bounds["hi"]
-    lo = F.when(single, bounds["lo"] - 0.5).otherwise(bounds["lo"])
-    hi = F.when(single, bounds["hi"] + 0.5).otherwise(bounds["hi"])
-    width = (hi - lo) / bins
-    filled = values.groupBy(F.least(F.floor((F.col("x") - lo) / width), F.lit(bins - 1)).cast("int").alias("bin")).agg(
-        F.count(F.lit(1)).alias("n")
+    range_of = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).selectExpr(
+        f"if(lo = hi, struct(lo - 0.5D AS lo, 1D / {bins} AS width), struct(lo, (hi - lo) / {bins} AS width))"
+    )
+    bounds = range_of.scalar()
+    position = F.floor((F.col("x") - F.col("b.lo")) / F.col("b.width"))
+    filled = (
+        values.withColumn("b", bounds)
+        .groupBy(F.least(position, F.lit(bins - 1)).cast("int").alias("bin"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).withColumn("b", bounds)
     return frame.join(filled, "bin", "left").select(
         "bin",
-        half_up(lo + F.col("bin") * width, 4).alias("bin_start"),
-        half_up(lo + (F.col("bin") + 1) * width, 4).alias("bin_end"),
+        half_up(F.col("b.lo") + F.col("bin") * F.col("b.width"), 4).alias("bin_start"),
+        half_up(F.col("b.lo") + (F.col("bin") + 1) * F.col("b.width"), 4).alias("bin_end"),
         F.coalesce("n", F.lit(0).cast("bigint")).alias("n"),
     )
 
@@ -187,9 +186,6 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum per column."""
     names = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns]
     values = df.select(F.inline(F.array(*names))).where(F.col("x").isNotNull())
-    quartiles = (
-        exact_quantiles(values, (0.25, 0.5, 0.75)).groupBy("column").pivot("p", ["0.25", "0.5", "0.75"]).agg(F.max("q"))
-    )
     basics = values.groupBy("column").agg(
         F.count("x").alias("count"),
         F.avg("x").alias("mean"),
@@ -197,6 +193,12 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.min("x").alias("min"),
         F.max("x").alias("max"),
     )
+    quartiles = (
+        exact_quantiles(values, basics, (0.25, 0.5, 0.75))
+        .groupBy("column")
+        .pivot("p", ["0.25", "0.5", "0.75"])
+        .agg(F.max("q"))
+    )
     return basics.join(quartiles, "column").select(
         F.col("column").alias("column_name"),
         "count",
@@ -210,18 +212,16 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def exact_quantiles(values: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+def exact_quantiles(values: DataFrame, basics: DataFrame, probabilities: Sequence[float]) -> DataFrame:
     """Linearly interpolated quantiles of `x` per `column`, without sorting all values in a task.
 
     Equal values are combined first.  Equal-width buckets then locate each wanted rank, and
     only the buckets that hold one are ordered, each in its own partition.  Buckets split the
     value range, so a bucket of a DECIMAL(10,2) or INTEGER column has a bounded number of
-    distinct values however many rows there are.
+    distinct values however many rows there are.  `basics` has min, max and count per column.
     """
     distinct = values.groupBy("column", "x").agg(F.count(F.lit(1)).alias("n"))
-    ranges = values.groupBy("column").agg(
-        F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("rows")
-    )
+    ranges = basics.selectExpr("column", "min AS lo", "max AS hi", "count AS rows")
     span = F.col("hi") - F.col("lo")
     position = F.coalesce(ratio((F.col("x") - F.col("lo")) * _BUCKETS, span), F.lit(0.0))
     placed = distinct.join(ranges, "column").withColumn(

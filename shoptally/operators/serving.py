@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shoptally.functions.calendar import month_label, month_of
@@ -14,7 +11,7 @@ from shoptally.functions.numeric import half_up, money, ratio
 
 RISK_ORDER = ("Critical", "High", "Medium", "Low")
 KPIS = ("revenue", "orders", "customers", "average_order_value")
-ALERTS = {"Revenue": "revenue", "Orders": "orders", "AOV": "average_order_value"}
+ALERTS = {"revenue": "Revenue", "orders": "Orders", "average_order_value": "AOV"}
 
 
 def _exact(column: str) -> Column:
@@ -66,22 +63,20 @@ def month_over_month(monthly: DataFrame) -> DataFrame:
 
 def alerts(changes: DataFrame) -> DataFrame:
     """One sentence per alert card.  The inventory sentence is constant."""
-
-    def sentence(label: str) -> Column:
-        change = F.col("change_pct")
-        direction = F.when(change >= 0, "increased").otherwise("decreased")
-        moved = F.format_string(f"{label} %s %.1f%% vs previous month.", direction, half_up(F.abs(change), 1))
-        still = "is" if label != "Orders" else "are"
-        return F.when(change.isNull(), f"{label} {still} stable.").otherwise(moved)
-
-    cards = [
-        changes.where(F.col("kpi") == kpi).select(F.lit(label).alias("alert"), sentence(label).alias("message"))
-        for label, kpi in ALERTS.items()
-    ]
+    change, label = F.col("change_pct"), F.col("alert")
+    still = F.concat(label, F.when(label == "Orders", " are").otherwise(" is"), F.lit(" stable."))
+    direction = F.when(change >= 0, "increased").otherwise("decreased")
+    moved = F.format_string("%s %s %.1f%% vs previous month.", label, direction, half_up(F.abs(change), 1))
+    names = F.create_map(*[F.lit(x) for kpi, name in ALERTS.items() for x in (kpi, name)])
+    cards = (
+        changes.where(F.col("kpi").isin(*ALERTS))
+        .withColumn("alert", names[F.col("kpi")])
+        .select("alert", F.when(change.isNull(), still).otherwise(moved).alias("message"))
+    )
     stock = changes.sparkSession.range(1).select(
         F.lit("Inventory").alias("alert"), F.lit("Inventory health is stable across products.").alias("message")
     )
-    return reduce(DataFrame.unionByName, [*cards, stock])
+    return cards.unionByName(stock)
 
 
 def revenue_by_city(performance: DataFrame) -> DataFrame:
@@ -124,17 +119,13 @@ def top_products(performance: DataFrame, by: str, k: int = 10) -> DataFrame:
 
 
 def revenue_by_category(performance: DataFrame) -> DataFrame:
-    everything = F.sum("total").over(W.partitionBy())
-    return (
-        performance.groupBy("category")
-        .agg(F.sum(_exact("revenue")).alias("total"))
-        .select(
-            "category",
-            money(F.col("total")).alias("revenue"),
-            half_up(ratio(F.col("total"), everything), 4).alias("share"),
-        )
-        .orderBy(F.col("revenue").desc(), "category")
-    )
+    totals = performance.groupBy("category").agg(F.sum(_exact("revenue")).alias("total"))
+    everything = totals.agg(F.sum("total")).scalar()
+    return totals.select(
+        "category",
+        money(F.col("total")).alias("revenue"),
+        half_up(ratio(F.col("total"), everything), 4).alias("share"),
+    ).orderBy(F.col("revenue").desc(), "category")
 
 
 def risk_distribution(health: DataFrame) -> DataFrame:
