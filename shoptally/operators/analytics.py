@@ -17,7 +17,6 @@ from shoptally.functions.calendar import (
     month_label,
     month_of,
     months,
-    previous_month,
 )
 from shoptally.functions.frames import series
 from shoptally.functions.numeric import (
@@ -150,51 +149,65 @@ def monthly_sales(daily: DataFrame, orders: DataFrame, as_of: Column) -> DataFra
     )
 
 
-def _sales_by(lines: DataFrame, products: DataFrame, *keys: str | Column) -> DataFrame:
-    """Units, revenue, mean charged price and mean discount of discounted lines per key.
+_MEASURES = ("units_sold", "total", "lines", "price_sum", "discounted", "discount_sum")
 
-    Lines are first combined per charged price, so the list price (if the lines carry no
-    discount of their own) is joined to price points, not to lines.
+
+def product_sales(
+    orders: DataFrame, order_items: DataFrame, products: DataFrame, by_month: bool = False
+) -> DataFrame:
+    """Additive sales measures of completed orders per product, or per product and month.
+
+    units_sold, total, and what the line means need: lines with the sum of charged prices,
+    discounted lines with the sum of their discounts.  If the lines carry no discount, it is
+    measured against the list price; lines are then first combined per charged price, so the
+    list price is joined to price points, not to lines.
     """
-    if "discount_pct" in lines.columns:
-        measured = lines.withColumn("discount", F.col("discount_pct"))
-        discounted = F.when(F.col("discount") > DISCOUNT_EPSILON, F.col("discount"))
-        return measured.groupBy(*keys).agg(
+    lines = sold_lines(orders, order_items)
+    keys = ["product_id"]
+    if by_month:
+        lines = lines.withColumn("month", month_of("order_date"))
+        keys.append("month")
+    price = F.col("unit_price")
+    if "discount_pct" in order_items.columns:
+        cut = F.when(F.col("discount_pct") > DISCOUNT_EPSILON, F.col("discount_pct"))
+        return lines.groupBy(*keys).agg(
             F.sum("quantity").alias("units_sold"),
             F.sum("line_total").alias("total"),
-            ratio(F.sum("unit_price"), F.count("unit_price")).alias("mean_price"),
-            ratio(F.sum(discounted), F.count(discounted)).alias("mean_discount"),
+            F.count(price).alias("lines"),
+            F.sum(price).alias("price_sum"),
+            F.count(cut).alias("discounted"),
+            F.sum(cut).alias("discount_sum"),
         )
     points = lines.groupBy(*keys, "unit_price").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.sum("quantity").alias("units"),
-        F.sum("line_total").alias("total"),
+        F.sum("quantity").alias("units_sold"), F.sum("line_total").alias("total"), F.count(price).alias("n")
     )
-    names = [k for k in points.columns if k not in ("unit_price", "lines", "units", "total")]
-    lists = products.select("product_id", F.col("unit_price").alias("list_price"))
-    cut = 1 - ratio(F.col("unit_price"), F.col("list_price"))
-    discounted = F.when(cut > DISCOUNT_EPSILON, F.col("lines"))
+    lists = products.select("product_id", price.alias("list_price"))
+    cut = 1 - ratio(price, F.col("list_price"))
+    is_cut = cut > DISCOUNT_EPSILON
     return (
         points.join(lists, "product_id", "left")
-        .groupBy(*names)
+        .groupBy(*keys)
         .agg(
-            F.sum("units").alias("units_sold"),
+            F.sum("units_sold").alias("units_sold"),
             F.sum("total").alias("total"),
-            ratio(F.sum(F.col("unit_price") * F.col("lines")), F.sum("lines")).alias("mean_price"),
-            ratio(F.sum(cut * discounted), F.sum(discounted)).alias("mean_discount"),
+            F.sum("n").alias("lines"),
+            F.sum(price * F.col("n")).alias("price_sum"),
+            F.sum(F.when(is_cut, F.col("n")).otherwise(0)).alias("discounted"),
+            F.sum(F.when(is_cut, cut * F.col("n"))).alias("discount_sum"),
         )
     )
 
 
-def product_performance(
-    products: DataFrame, orders: DataFrame, order_items: DataFrame, returns: DataFrame
-) -> DataFrame:
-    """One row per product, sold or not; every return counts as one unit, whatever the order's status."""
-    sales = _sales_by(sold_lines(orders, order_items), products, "product_id")
+def product_performance(products: DataFrame, sales: DataFrame, returns: DataFrame) -> DataFrame:
+    """One row per product, sold or not; every return counts as one unit, whatever the order's status.
+
+    `sales` are the measures of `product_sales`, by product or finer.
+    """
+    per_product = sales.groupBy("product_id").agg(*[F.sum(m).alias(m) for m in _MEASURES])
     returned = returns.groupBy("product_id").agg(F.count(F.lit(1)).alias("returns"))
     return (
         products.select("product_id", "product_name", "category")
-        .join(sales, "product_id", "left")
+        .join(per_product, "product_id", "left")
         .join(returned, "product_id", "left")
         .select(
             "product_id",
@@ -202,50 +215,30 @@ def product_performance(
             "category",
             count_or_zero("units_sold"),
             money(sum_or_zero(F.col("total"))).alias("revenue"),
-            half_up(F.coalesce(F.col("mean_discount"), F.lit(0.0)), 4).alias("average_discount"),
-            half_up(F.col("mean_price"), 2).alias("average_price"),
+            ratio_or_zero(F.col("discount_sum"), F.col("discounted"), 4).alias("average_discount"),
+            half_up(ratio(F.col("price_sum"), F.col("lines")), 2).alias("average_price"),
             ratio_or_zero(F.col("returns"), F.col("units_sold"), 4).alias("return_rate"),
         )
     )
 
 
 def product_monthly_sales(
-    products: DataFrame,
-    orders: DataFrame,
-    order_items: DataFrame,
-    returns: DataFrame,
-    as_of: Column,
-    last_months: int | None = None,
+    products: DataFrame, sales: DataFrame, returns: DataFrame, first: Column, last: Column
 ) -> DataFrame:
-    """One row per product and complete month; returns count in the month they come back.
-
-    Sales and returns of a product become one short map from month to measures (at most one
-    entry per calendar month), and the calendar is laid over it after the join.  So only
-    product-grain rows are shuffled, not the product x month scaffold.
+    """One row per product and month from `first` to `last`; returns count in the month they come back.
 
-    `last_months` limits the table to its most recent months.
+    Sales (by product and month) and returns of a product become one short map from month to
+    measures, at most one entry per calendar month, and the calendar is laid over it after the
+    join.  So only product-grain rows are shuffled, not the product x month scaffold.
     """
-    last = previous_month(as_of)
-    if last_months is None:
-        first = orders.agg(month_of(F.min("order_date"))).scalar()
-    else:
-        first = F.add_months(last, 1 - last_months)
-        orders = orders.where(F.col("order_date") >= first)
-        returns = returns.where(F.col("return_date") >= first)
-
-    sold = _sales_by(
-        sold_lines(orders, order_items).withColumn("month", month_of("order_date")), products, "product_id", "month"
-    )
     back = returns.groupBy("product_id", month_of("return_date").alias("month")).agg(
         F.count(F.lit(1)).alias("returns")
     )
-    by_product = (
-        _by_month(sold, "sales", "units_sold", "total", "mean_price", "mean_discount"),
-        _by_month(back, "back", "returns"),
+    filled = (
+        products.select("product_id", "product_name", "category")
+        .join(_by_month(sales, "sales", *_MEASURES), "product_id", "left")
+        .join(_by_month(back, "back", "returns"), "product_id", "left")
     )
-    filled = products.select("product_id", "product_name", "category")
-    for measures in by_product:
-        filled = filled.join(measures, "product_id", "left")
     row = filled.withColumn("month", F.explode(months(first, last))).select(
         month_label("month").alias("month"),
         "product_id",
@@ -262,8 +255,8 @@ def product_monthly_sales(
         "category",
         units.alias("units_sold"),
         money(sum_or_zero(F.col("s.total"))).alias("revenue"),
-        half_up(F.col("s.mean_price"), 2).alias("average_price"),
-        half_up(F.col("s.mean_discount"), 4).alias("average_discount"),
+        half_up(ratio(F.col("s.price_sum"), F.col("s.lines")), 2).alias("average_price"),
+        half_up(ratio(F.col("s.discount_sum"), F.col("s.discounted")), 4).alias("average_discount"),
         "returns",
         ratio_or_zero(F.col("returns"), units, 4).alias("return_rate"),
     )
@@ -429,11 +422,10 @@ def marketing_performance(
 
 
 
-def returns_summary(
-    products: DataFrame, returns: DataFrame, orders: DataFrame, order_items: DataFrame
-) -> DataFrame:
+def returns_summary(products: DataFrame, returns: DataFrame, sales: DataFrame) -> DataFrame:
+    """Returns against units sold per product; `sales` as for `product_performance`."""
     returned = returns.groupBy("product_id").agg(F.count(F.lit(1)).alias("returns"))
-    sold = sold_lines(orders, order_items).groupBy("product_id").agg(F.sum("quantity").alias("units_sold"))
+    sold = sales.groupBy("product_id").agg(F.sum("units_sold").alias("units_sold"))
     return (
         products.select("product_id", "category")
         .join(returned, "product_id", "left")

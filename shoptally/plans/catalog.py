@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoptally.functions.calendar import previous_month
 from shoptally.functions.numeric import half_up
 from shoptally.operators import analytics, features, forecast, profiles, quality, serving, views
 from shoptally.sources.files import to_records
@@ -152,14 +153,20 @@ def monthly_sales(r: Retail) -> DataFrame:
     return analytics.monthly_sales(daily_sales(r), r.order_headers, r.as_of)
 
 
+def _product_sales(r: Retail) -> DataFrame:
+    return analytics.product_sales(r.order_headers, r.order_items, r.products)
+
+
 @_query
 def product_performance(r: Retail) -> DataFrame:
-    return analytics.product_performance(r.products, r.order_headers, r.order_items, r.return_lines)
+    return analytics.product_performance(r.products, _product_sales(r), r.return_lines)
 
 
 @_query
 def product_monthly_sales(r: Retail) -> DataFrame:
-    return analytics.product_monthly_sales(r.products, r.order_headers, r.order_items, r.returns, r.as_of)
+    sales = analytics.product_sales(r.order_headers, r.order_items, r.products, by_month=True)
+    first = r.order_headers.agg(F.min("order_date")).scalar()
+    return analytics.product_monthly_sales(r.products, sales, r.returns, first, previous_month(r.as_of))
 
 
 @_query
@@ -181,7 +188,7 @@ def marketing_performance(r: Retail) -> DataFrame:
 
 @_query
 def returns_summary(r: Retail) -> DataFrame:
-    return analytics.returns_summary(r.products, r.return_lines, r.order_headers, r.order_items)
+    return analytics.returns_summary(r.products, r.return_lines, _product_sales(r))
 
 
 @_query
@@ -197,9 +204,12 @@ def customer_features(r: Retail) -> DataFrame:
 
 @_query
 def product_features(r: Retail) -> DataFrame:
-    recent = analytics.product_monthly_sales(
-        r.products, r.order_headers, r.order_items, r.returns, r.as_of, last_months=3
-    )
+    last = previous_month(r.as_of)
+    first = F.add_months(last, -2)
+    recent_orders = r.order_headers.where(F.col("order_date") >= first)
+    sales = analytics.product_sales(recent_orders, r.order_items, r.products, by_month=True)
+    recent_returns = r.returns.where(F.col("return_date") >= first)
+    recent = analytics.product_monthly_sales(r.products, sales, recent_returns, first, last)
     return features.product_features(product_performance(r), inventory_health(r), recent, r.as_of)
 
 
