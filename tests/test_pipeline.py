@@ -1,5 +1,5 @@
 import pytest
-from frames import by
+from frames import by, small_retail
 from published import METRICS, MONTHLY_SALES
 
 from shoptally.operators import quality
@@ -39,9 +39,10 @@ def test_quality_is_recorded(store):
     assert {r.status for r in quality.table_summary(profiles).collect()} == {"PASS"}
 
 
-def test_a_failed_gate_can_stop_the_run(spark, retail, tmp_path):
+def test_a_failed_gate_can_stop_the_run(spark, tmp_path):
     out = pipeline.Store(spark, str(tmp_path))
-    assert pipeline.run(retail, out, "North", stop_on_fail=True) is False
+    broken = small_retail(spark, stores=[], customers=[])
+    assert pipeline.run(broken, out, "North", stop_on_fail=True) is False
     assert not (tmp_path / "analytics").exists()
 
 
