@@ -132,15 +132,17 @@ def return_rate_by_city_month(orders: DataFrame, returns: DataFrame, stores: Dat
 def category_revenue_by_city_month(
     orders: DataFrame, order_items: DataFrame, products: DataFrame, stores: DataFrame
 ) -> DataFrame:
-    per_product = (
-        sold_lines(orders, order_items)
-        .groupBy("product_id", "store_id", month_of("order_date").alias("month"))
-        .agg(F.sum("line_total").alias("revenue"))
-    )
+    """Category revenue with its share of the city's month, from unrounded sums.
+
+    Lines meet their product unaggregated: a small product table is broadcast once its size is
+    known, a large one is shuffled with them, and AQE splits the partition of a hot product.
+    """
     per_category = (
-        per_product.join(products.select("product_id", "category"), "product_id")
+        sold_lines(orders, order_items)
+        .select("product_id", "store_id", month_of("order_date").alias("month"), "line_total")
+        .join(products.select("product_id", "category"), "product_id")
         .groupBy("store_id", "month", "category")
-        .agg(F.sum("revenue").alias("revenue"))
+        .agg(F.sum("line_total").alias("revenue"))
         .join(city_of(stores), "store_id")
         .groupBy("city", "month", "category")
         .agg(F.sum("revenue").alias("total"))

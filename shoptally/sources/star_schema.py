@@ -107,16 +107,20 @@ class StarSchemaRetail(Retail):
         )
 
     def _order_items(self) -> DataFrame:
+        """Prices and discounts have two digits; they become decimals by way of whole cents.
+
+        The values are those of a direct cast, which would print and parse every double.
+        """
+        cents, percent = "FLOOR(l_extendedprice * 100 + 0.5D)", "FLOOR(l_discount * 100 + 0.5D)"
+        charged = "FLOOR(l_extendedprice * (1 - l_discount) / l_quantity * 100 + 0.5D)"
         return self._source("lineitem").selectExpr(
             f"{_LINE_ID} AS order_item_id",
             "l_orderkey AS order_id",
             "l_partkey AS product_id",
             "CAST(l_quantity AS BIGINT) AS quantity",
-            "CAST(FLOOR(l_extendedprice * (1 - l_discount) / l_quantity * 100 + 0.5) / 100 AS DECIMAL(10,2)) "
-            "AS unit_price",
-            "CAST(l_discount AS DECIMAL(4,2)) AS discount_pct",
-            "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) "
-            "* (CAST(1 AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS line_total",
+            f"CAST(CAST({charged} AS DECIMAL(18,0)) * 0.01BD AS DECIMAL(10,2)) AS unit_price",
+            f"CAST(CAST({percent} AS DECIMAL(18,0)) * 0.01BD AS DECIMAL(4,2)) AS discount_pct",
+            f"CAST(CAST({cents} * (100 - {percent}) AS DECIMAL(18,0)) * 0.0001BD AS DECIMAL(18,4)) AS line_total",
         )
 
     def _returned(self) -> DataFrame:
