@@ -119,11 +119,13 @@ def eligible_customers(customers: DataFrame, orders: DataFrame) -> DataFrame:
     A running sum of signups per month; customers and months are never paired.
     """
     span = date_bounds(orders, "order_date")
-    calendar = customers.sparkSession.range(1).select(F.explode(months(span["lo"], span["hi"])).alias("month"), F.lit(0).alias("n"))
+    calendar = customers.sparkSession.range(1).select(
+        F.explode(months(span["lo"], span["hi"])).alias("month"), F.lit(0).cast("bigint").alias("n")
+    )
     signups = customers.groupBy(month_of("signup_date").alias("month")).agg(F.count(F.lit(1)).alias("n"))
     so_far = series([], "month").rowsBetween(W.unboundedPreceding, W.currentRow)
     return (
-        signups.unionByName(calendar.withColumn("n", F.col("n").cast("bigint")))
+        signups.unionByName(calendar)
         .groupBy("month")
         .agg(F.sum("n").alias("n"))
         .select("month", F.sum("n").over(so_far).alias("eligible_customers"))

@@ -248,7 +248,8 @@ def temporal_offenders(orders: DataFrame, customers: DataFrame, shown: int = 10)
     )
 
 
-# Table -> (check, condition that must never hold, what its offenders are called).
+# Table -> (check, condition that must never hold, what its offenders are called); the texts are
+# fixed values.
 VALUE_RULES = {
     "products": [
         ("products.unit_price > 0", "unit_price <= 0", "non-positive prices"),
