@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptally.functions.calendar import parse_month, previous_month
+from shoptally.functions.calendar import month_label, parse_month, previous_month
 from shoptally.operators import analytics, features, forecast, quality
 from shoptally.operators.facts import order_totals
 from shoptally.sources.files import read_table, save_table
@@ -32,11 +32,12 @@ class Store:
     spark: SparkSession
     base: str
 
-    def put(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+    def put(self, layer: str, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
+        """Write a table and return it as read back, with the same columns and types."""
         path = f"{self.base}/{layer}/{name}"
-        save_table(df, path)
+        save_table(df, path, partition_by=partition_by)
         log.info("wrote %s/%s (%d columns)", layer, name, len(df.columns))
-        return self.get(layer, name)
+        return read_table(self.spark, path, df.schema).select(df.columns)
 
     def get(self, layer: str, name: str) -> DataFrame:
         return read_table(self.spark, f"{self.base}/{layer}/{name}")
@@ -64,8 +65,8 @@ def build_analytics(retail: Retail, store: Store) -> dict[str, DataFrame]:
 
     built: dict[str, DataFrame] = {}
 
-    def put(name: str, df: DataFrame) -> None:
-        built[name] = store.put("analytics", name, df)
+    def put(name: str, df: DataFrame, partition_by: str | None = None) -> None:
+        built[name] = store.put("analytics", name, df, partition_by)
 
     put("customer_summary", analytics.customer_summary(retail.customers, retail.order_headers, totals, as_of))
     put("daily_sales", analytics.daily_sales(retail.orders, totals, retail.stores))
@@ -74,6 +75,7 @@ def build_analytics(retail: Retail, store: Store) -> dict[str, DataFrame]:
     put(
         "product_monthly_sales",
         analytics.product_monthly_sales(retail.products, sales, retail.returns, first, previous_month(as_of)),
+        partition_by="month",
     )
     put("store_performance", analytics.store_performance(retail.stores, retail.orders, totals, retail.return_lines))
     put(
@@ -104,7 +106,8 @@ def build_features(tables: dict[str, DataFrame], store: Store) -> dict[str, Data
     """The four feature tables, from analytics tables only."""
     as_of = F.lit(tables["daily_sales"].agg(F.max("date")).first()[0])
     last = previous_month(as_of)
-    recent = tables["product_monthly_sales"].where(parse_month("month") >= F.add_months(last, -2))
+    # Months are partitions: three of them are read.
+    recent = tables["product_monthly_sales"].where(F.col("month") >= month_label(F.add_months(last, -2)))
     built = {
         "sales_forecasting_features": features.sales_forecasting_features(tables["monthly_sales"]),
         "customer_features": features.customer_features(tables["customer_summary"]),

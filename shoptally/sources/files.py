@@ -45,9 +45,18 @@ def try_load(
         return None
 
 
-def save_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace the table at path."""
+def save_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None) -> None:
+    """Replace the table at path.
+
+    With `partition_by`, rows are first rebalanced by that column: AQE then gives every
+    partition value as many tasks as its size needs, so there are neither tiny files nor one
+    huge task for a large value.
+    """
+    if partition_by is not None:
+        df = df.hint("rebalance", partition_by)
     writer = df.write.mode("overwrite")
+    if partition_by is not None:
+        writer = writer.partitionBy(partition_by)
     if fmt == "csv":
         writer.option("header", True).csv(path)
     else:
