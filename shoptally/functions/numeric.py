@@ -21,13 +21,17 @@ def money(total: Column) -> Column:
     return F.round(total, 2).cast("double")
 
 
+def money_or_zero(total: Column) -> Column:
+    return F.coalesce(money(total), F.lit(0.0))
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """part / whole, null where the denominator is zero or either side is null."""
     return F.try_divide(part.cast("double"), whole.cast("double"))
 
 
 def ratio_or_zero(part: Column, whole: Column, digits: int) -> Column:
-    return half_up(F.coalesce(ratio(part, whole), F.lit(0.0)), digits)
+    return F.coalesce(half_up(ratio(part, whole), digits), F.lit(0.0))
 
 
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:

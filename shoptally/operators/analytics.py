@@ -23,6 +23,7 @@ from shoptally.functions.numeric import (
     count_or_zero,
     half_up,
     money,
+    money_or_zero,
     ratio,
     ratio_or_zero,
     sum_or_zero,
@@ -57,7 +58,7 @@ def customer_summary(customers: DataFrame, orders: DataFrame, order_items: DataF
             F.sum("revenue").alias("spent"),
         )
     )
-    spent = sum_or_zero(F.col("spent"))
+    spent = F.col("spent")
     since = F.datediff(as_of, F.col("last_order_date"))
     return (
         customers.select("customer_id", "signup_date")
@@ -69,7 +70,7 @@ def customer_summary(customers: DataFrame, orders: DataFrame, order_items: DataF
             "last_order_date",
             count_or_zero("total_orders"),
             count_or_zero("total_items"),
-            money(spent).alias("total_spent"),
+            money_or_zero(spent).alias("total_spent"),
             ratio_or_zero(spent, F.col("total_orders"), 2).alias("average_order_value"),
             since.alias("days_since_last_purchase"),
             F.datediff(as_of, F.col("signup_date")).alias("lifetime_days"),
@@ -104,7 +105,7 @@ def daily_sales(orders: DataFrame, order_items: DataFrame, stores: DataFrame) ->
     )
     span = date_bounds(orders, "order_date")
     scaffold = city_of(stores).withColumn("date", F.explode(days(span["lo"], span["hi"])))
-    total = sum_or_zero(F.col("total"))
+    total = F.col("total")
     return scaffold.join(per_day, ["store_id", "date"], "left").select(
         "date",
         "store_id",
@@ -112,7 +113,7 @@ def daily_sales(orders: DataFrame, order_items: DataFrame, stores: DataFrame) ->
         count_or_zero("orders"),
         count_or_zero("customers"),
         count_or_zero("units_sold"),
-        money(total).alias("revenue"),
+        money_or_zero(total).alias("revenue"),
         ratio_or_zero(total, F.col("orders"), 2).alias("average_order_value"),
         count_or_zero("cancelled_orders"),
     )
@@ -214,7 +215,7 @@ def product_performance(products: DataFrame, sales: DataFrame, returns: DataFram
             "product_name",
             "category",
             count_or_zero("units_sold"),
-            money(sum_or_zero(F.col("total"))).alias("revenue"),
+            money_or_zero(F.col("total")).alias("revenue"),
             ratio_or_zero(F.col("discount_sum"), F.col("discounted"), 4).alias("average_discount"),
             half_up(ratio(F.col("price_sum"), F.col("lines")), 2).alias("average_price"),
             ratio_or_zero(F.col("returns"), F.col("units_sold"), 4).alias("return_rate"),
@@ -254,7 +255,7 @@ def product_monthly_sales(
         "product_name",
         "category",
         units.alias("units_sold"),
-        money(sum_or_zero(F.col("s.total"))).alias("revenue"),
+        money_or_zero(F.col("s.total")).alias("revenue"),
         half_up(ratio(F.col("s.price_sum"), F.col("s.lines")), 2).alias("average_price"),
         half_up(ratio(F.col("s.discount_sum"), F.col("s.discounted")), 4).alias("average_discount"),
         "returns",
@@ -289,7 +290,7 @@ def store_performance(
         F.sum("revenue").alias("total"),
         F.sum("returned").alias("returned"),
     )
-    total = sum_or_zero(F.col("total"))
+    total = F.col("total")
     return (
         city_of(stores)
         .join(per_store, "store_id", "left")
@@ -298,7 +299,7 @@ def store_performance(
             "city",
             count_or_zero("orders"),
             count_or_zero("customers"),
-            money(total).alias("revenue"),
+            money_or_zero(total).alias("revenue"),
             ratio_or_zero(total, F.col("orders"), 2).alias("average_order_value"),
             ratio_or_zero(F.col("returned"), F.col("orders"), 4).alias("return_rate"),
         )
