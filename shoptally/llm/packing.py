@@ -32,7 +32,7 @@ CHUNKS = 1024
 #: Words whose ids a worker remembers.
 CACHED_WORDS = 600_000
 #: Fillings that the search looks at in all, and per step.
-NODES = 20_000
+NODES = 4_000
 BRANCHES = 3
 
 Filling = tuple[int, ...]
@@ -171,13 +171,30 @@ def fillings(left: np.ndarray, room: int, most: int = BRANCHES) -> list[Filling]
     return [f for f in ranked if f][:most] or [()]
 
 
+def fewest(left: np.ndarray, capacity: int) -> int:
+    """Sequences that any packing needs, the largest of the bounds for each ``small``.
+
+    Lengths over capacity - small stand alone, others over half the capacity stand in sequences of
+    their own too, and those from ``small`` to a half need the room that these leave, or more.
+    """
+    sizes = np.arange(capacity + 1)
+    number, tokens = np.append(0, np.cumsum(left)), np.append(0, np.cumsum(left * sizes))
+    half = capacity // 2
+    small = np.arange(half + 1)
+    alone = number[-1] - number[capacity - small + 1]
+    large = number[capacity - small + 1] - number[half + 1]
+    free = large * capacity - (tokens[capacity - small + 1] - tokens[half + 1])
+    need = tokens[half + 1] - tokens[small]
+    return int((alone + large + np.maximum(0, -(-(need - free) // capacity))).max())
+
+
 def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[Filling, int]]:
     """(lengths in one sequence, number of such sequences), as few sequences as the search finds."""
     left = np.zeros(capacity + 1, dtype=np.int64)
     for size, n in counts.items():
         left[size] = n
     total = int((left * np.arange(capacity + 1)).sum())
-    least = -(-total // capacity)
+    least = fewest(left, capacity)
 
     def times(filling: Filling) -> int:
         return min(int(left[s]) // filling.count(s) for s in set(filling))

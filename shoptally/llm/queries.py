@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoptally.llm import mixing, packing, quality_rules, toxicity
+from shoptally.llm import mixing, packing, quality_rules, secrets, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -16,6 +16,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": lambda spark, sf: quality_rules.report(_read(spark, sf, "documents")),
     "op5_toxicity": lambda spark, sf: toxicity.report(_read(spark, sf, "documents"), _read(spark, sf, "labels")),
+    "op6_secret_scans": lambda spark, sf: secrets.report(_read(spark, sf, "documents")),
     "op9_mixing": lambda spark, sf: mixing.report(_read(spark, sf, "documents")),
     "op10_packing": lambda spark, sf: packing.pack(_read(spark, sf, "documents")),
 }
