@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoptally.llm import mixing, near_dups, packing, quality_rules, secrets, toxicity
+from shoptally.llm import html_text, mixing, near_dups, packing, quality_rules, secrets, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": lambda spark, sf: toxicity.report(_read(spark, sf, "documents"), _read(spark, sf, "labels")),
     "op6_secret_scans": lambda spark, sf: secrets.report(_read(spark, sf, "documents")),
     "op7_near_dups": lambda spark, sf: near_dups.report(_read(spark, sf, "documents")),
+    "op8_html_extraction": lambda spark, sf: html_text.main_texts(_read(spark, sf, "pages")),
     "op9_mixing": lambda spark, sf: mixing.report(_read(spark, sf, "documents")),
     "op10_packing": lambda spark, sf: packing.pack(_read(spark, sf, "documents")),
 }
