@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoptally.llm import html_text, mixing, near_dups, packing, quality_rules, secrets, toxicity
+from shoptally.llm import html_text, mixing, near_dups, packing, quality_rules, secrets, token_counts, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -15,6 +15,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": lambda spark, sf: quality_rules.report(_read(spark, sf, "documents")),
+    "op4_token_counts": lambda spark, sf: token_counts.report(_read(spark, sf, "documents")),
     "op5_toxicity": lambda spark, sf: toxicity.report(_read(spark, sf, "documents"), _read(spark, sf, "labels")),
     "op6_secret_scans": lambda spark, sf: secrets.report(_read(spark, sf, "documents")),
     "op7_near_dups": lambda spark, sf: near_dups.report(_read(spark, sf, "documents")),
