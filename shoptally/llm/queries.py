@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoptally.llm import fingerprints, html_text, mixing, near_dups, packing, quality_rules, secrets, token_counts, toxicity
+from shoptally.llm import fingerprints, html_text, mixing, near_dups, packing, quality_rules, secrets, suffix_dedup, token_counts, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -14,6 +14,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": lambda spark, sf: suffix_dedup.report(_read(spark, sf, "documents")),
     "op2_document_fingerprints": lambda spark, sf: fingerprints.report(_read(spark, sf, "documents")),
     "op3_quality_rules": lambda spark, sf: quality_rules.report(_read(spark, sf, "documents")),
     "op4_token_counts": lambda spark, sf: token_counts.report(_read(spark, sf, "documents")),

@@ -35,8 +35,8 @@ def fold_table(letters_only: bool = False, lower: bool = True) -> np.ndarray:
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of a string column and where each row begins; null is the empty text."""
-    column = column.cast(pa.large_string()).fill_null("")
+    """Bytes of a string or binary column and where each row begins; null is the empty text."""
+    column = column.cast(pa.large_binary()).fill_null(b"")
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
