@@ -25,12 +25,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoptally.llm.storage import saved
+from shoptally.llm.words import slices
 
 CAPACITY = 4096
 END_ID = 1
 CHUNKS = 1024
 #: Words whose ids a worker remembers.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 1_000_000
+#: Signs that end a word; none of them begins a contraction or a special token's last part.
+SIGNS = ".,;:!?#$%&*()"
 #: Fillings that the search looks at in all, and per step.
 NODES = 4_000
 BRANCHES = 3
@@ -64,20 +67,38 @@ class WordIds:
         self.known = _WORDS.setdefault(path, {})
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            words = text.replace("\n", " ").split(" ")
-            known = self.known
-            missing = [w for w in dict.fromkeys(words) if w not in known]
-            if missing:
-                if len(known) + len(missing) > CACHED_WORDS:
-                    known.clear()
-                    missing = list(dict.fromkeys(words))
-                for word, e in zip(
-                    missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True
-                ):
-                    known[word] = np.array(e.ids, dtype="<u4").tobytes()
+        known = self.known
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        missing = {w for words in split for w in words if w not in known}
+        if missing:
+            if len(known) + 2 * len(missing) > CACHED_WORDS:
+                known.clear()
+                missing = {w for words in split for w in words}
+            self._learn(missing)
+        for words in split:
             yield b"".join(map(known.__getitem__, words))
 
+    def _learn(self, words: set[str]) -> None:
+        """Remember words; the tokenizer sees one lower-case form of each without its last signs.
+
+        It lowers case itself and splits letters and digits from ASCII signs, so that the ids of a
+        word are those of its parts.
+        """
+        known = self.known
+        parts = {}
+        for word in words:
+            plain = word.lower() if word.isascii() else word
+            core = plain.rstrip(SIGNS)
+            if core and not core[-1].isalnum():
+                core = plain
+            parts[word] = (core, plain[len(core) :])
+        new = [p for p in {p for pair in parts.values() for p in pair} if p not in known]
+        if new:
+            encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+            known.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(new, encoded, strict=True))
+        for word, (core, signs) in parts.items():
+            known[word] = known[core] + known[signs]
+
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece, and its ids if asked for."""
@@ -87,7 +108,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = WordIds(path)
-        for batch in batches:
+        for batch in slices(batches, "text"):
             of, number, start, length, crc, ids = [], [], [], [], [], []
             texts = batch.column("text").fill_null("").to_pylist()
             for row, encoded in enumerate(ids_of(texts)):

@@ -4,16 +4,23 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def saved(rows: DataFrame) -> DataFrame:
-    """Write ``rows`` to the checkpoint folder and cut the lineage there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names.
 
-    The folder is the one that spark.checkpoint.dir names; only where neither that setting nor the
-    context has one (as in tests on one machine) a temporary folder is used.
+    Only where neither that setting nor the context has one (as in tests on one machine) a temporary
+    folder is made, and kept for the context.
     """
-    context = rows.sparkSession.sparkContext
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp())
+        context.setCheckpointDir(named or tempfile.mkdtemp())
+    return named or context.getCheckpointDir()
+
+
+def saved(rows: DataFrame) -> DataFrame:
+    """Write ``rows`` to the checkpoint folder and cut the lineage there."""
+    shared_folder(rows.sparkSession)
     return rows.checkpoint()
