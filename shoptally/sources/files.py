@@ -13,7 +13,7 @@ from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StructType
+from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, StructType
 
 from shoptally.sources.schemas import LOAD_ORDER, SCHEMAS
 
@@ -23,9 +23,22 @@ log = logging.getLogger(__name__)
 def read_table(
     spark: SparkSession, path: str, schema: StructType | str | None = None, fmt: str = "parquet"
 ) -> DataFrame:
+    """A table; columns of a CSV file are found by the names in its header, and a bad cell is an error."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if fmt == "csv":
-        return reader.option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
+        options = {"header": True, "dateFormat": "yyyy-MM-dd", "mode": "FAILFAST"}
+        if schema is None:
+            return spark.read.options(**options).csv(path)
+        # With a schema Spark takes columns by place, so the header's order comes first.
+        header = spark.read.option("header", True).csv(path).columns
+        wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        missing = [f.name for f in wanted if f.name not in header]
+        if missing:
+            raise ValueError(f"{path} has no column {', '.join(missing)}")
+        types = {f.name: f for f in wanted}
+        in_file = StructType([types.get(name, StructField(name, StringType())) for name in header])
+        found = spark.read.schema(in_file).options(enforceSchema=False, **options).csv(path)
+        return found.select(*wanted.fieldNames())
     return reader.format(fmt).load(path)
 
 
@@ -34,13 +47,13 @@ def try_load(
 ) -> DataFrame | None:
     """The table, or None if it is absent or unreadable.  Never raises.
 
-    One row is read, because a damaged file shows only when a task opens it.
+    All of it is read once, because a damaged file shows only when a task gets to it.
     """
     try:
         df = read_table(spark, path, schema, fmt)
-        df.take(1)
+        df.write.format("noop").mode("overwrite").save()
         return df
-    except (PySparkException, Py4JError, OSError) as problem:
+    except (PySparkException, Py4JError, OSError, ValueError) as problem:
         log.info("no table at %s: %s", path, type(problem).__name__)
         return None
 
