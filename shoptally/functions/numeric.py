@@ -1,8 +1,7 @@
 """Rounding and ratio expressions.
 
-Published figures round half away from zero.  Doubles go through a decimal with four
-spare digits first, so that a quotient such as 1.005, stored as 1.00499999999999989,
-still rounds like the decimal number it stands for.
+Published figures round half away from zero, once: a double becomes the shortest decimal that
+stands for it (1.005 for what is stored as 1.00499999999999989), and that is rounded.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from pyspark.sql.types import DecimalType
 
 
 def half_up(value: Column, digits: int) -> Column:
-    return F.round(value.cast(DecimalType(38, digits + 4)), digits).cast("double")
+    return F.round(value.cast("double").cast(DecimalType(38, 18)), digits).cast("double")
 
 
 def money(total: Column) -> Column:

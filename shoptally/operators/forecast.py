@@ -7,8 +7,6 @@ has one row per calendar month, so its window or fit is small whatever the size
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,6 +16,8 @@ from shoptally.functions.numeric import half_up, ratio
 
 TEST_MONTHS = 3
 PARTIAL_SHARE = 0.5
+# Share of a feature's variance below which it counts as a combination of the features before it.
+DEPENDENT = 1e-9
 FEATURES = (
     "previous_month_revenue",
     "previous_3_month_avg_revenue",
@@ -83,26 +83,49 @@ def _test_rows(split: DataFrame) -> DataFrame:
 
 
 def fit_linear_models(split: DataFrame) -> DataFrame:
-    """Least squares with intercept on each series' training rows: one model row per series."""
-
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        x = rows[list(FEATURES)].to_numpy(dtype=float)
-        y = rows["revenue"].to_numpy(dtype=float)
-        centre = x.mean(axis=0)
-        weights, *_ = np.linalg.lstsq(x - centre, y - y.mean(), rcond=None)
-        return pd.DataFrame(
-            {
-                "series_id": [rows["series_id"].iloc[0]],
-                "intercept": [float(y.mean() - centre @ weights)],
-                "coefficients": [weights.tolist()],
-                "train_rows": [len(rows)],
-            }
-        )
+    """Least squares with intercept on each series' training rows: one model row per series.
 
-    train = split.where(F.col("split") == "train").select("series_id", "revenue", *FEATURES)
-    return train.groupBy("series_id").applyInPandas(
-        fit, "series_id string, intercept double, coefficients array<double>, train_rows bigint"
+    One aggregate gives the covariances of a series; the normal equations of the standardised
+    features are then solved by elimination in columns.  A feature that depends on those before it
+    gets the weight 0.
+    """
+    size = len(FEATURES)
+    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+    x = [F.col(name).cast("double") for name in FEATURES]
+    train = split.where(F.col("split") == "train")
+    sums = train.groupBy("series_id").agg(
+        F.count(F.lit(1)).alias("train_rows"),
+        F.avg("revenue").alias("mean_y"),
+        *(F.avg(x[i]).alias(f"mean_{i}") for i in range(size)),
+        *(F.stddev_pop(x[i]).alias(f"sd_{i}") for i in range(size)),
+        *(F.covar_pop(x[i], x[j]).alias(f"a_{i}_{j}") for i, j in pairs),
+        *(F.covar_pop(x[i], F.col("revenue")).alias(f"b_{i}") for i in range(size)),
     )
+    scaled = {f"a_{i}_{j}": _or_zero(F.col(f"a_{i}_{j}"), F.col(f"sd_{i}") * F.col(f"sd_{j}")) for i, j in pairs}
+    scaled |= {f"b_{i}": _or_zero(F.col(f"b_{i}"), F.col(f"sd_{i}")) for i in range(size)}
+    model = sums.withColumns(scaled)
+    for p in range(size - 1):
+        share = {i: _pivoted(F.col(f"a_{p}_{i}"), p) for i in range(p + 1, size)}
+        step = {f"a_{i}_{j}": F.col(f"a_{i}_{j}") - share[i] * F.col(f"a_{p}_{j}") for i, j in pairs if i > p}
+        step |= {f"b_{i}": F.col(f"b_{i}") - share[i] * F.col(f"b_{p}") for i in range(p + 1, size)}
+        model = model.withColumns(step)
+    for p in reversed(range(size)):
+        known = sum((F.col(f"a_{p}_{j}") * F.col(f"w_{j}") for j in range(p + 1, size)), F.lit(0.0))
+        model = model.withColumn(f"w_{p}", _pivoted(F.col(f"b_{p}") - known, p))
+    weights = [_or_zero(F.col(f"w_{i}"), F.col(f"sd_{i}")) for i in range(size)]
+    model = model.withColumn("coefficients", F.array(*weights))
+    fitted = sum((F.col("coefficients")[i] * F.col(f"mean_{i}") for i in range(size)), F.lit(0.0))
+    return model.select("series_id", (F.col("mean_y") - fitted).alias("intercept"), "coefficients", "train_rows")
+
+
+def _or_zero(part: Column, whole: Column) -> Column:
+    return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
+
+
+def _pivoted(value: Column, p: int) -> Column:
+    """value over pivot p, or 0 where what is left of feature p is rounding error."""
+    pivot = F.col(f"a_{p}_{p}")
+    return F.when(pivot > DEPENDENT, value / pivot).otherwise(F.lit(0.0))
 
 
 def predictions(split: DataFrame) -> DataFrame:
@@ -131,17 +154,6 @@ def linear_forecast(split: DataFrame) -> DataFrame:
     )
 
 
-def baseline_predictions(split: DataFrame) -> DataFrame:
-    """Actual revenue and the two forecasts that need no fit."""
-    return _test_rows(split).select(
-        "series_id",
-        "month",
-        F.col("revenue").alias("actual_revenue"),
-        F.col("previous_month_revenue").alias("naive_pred"),
-        F.col("previous_3_month_avg_revenue").alias("rolling_pred"),
-    )
-
-
 def _by_model(predicted: DataFrame) -> DataFrame:
     """Long form: one row per series, month and model present in the input."""
     present = {m: c for m, c in MODELS.items() if c in predicted.columns}

@@ -110,7 +110,9 @@ def focus_vs_others(revenue_by_city: DataFrame, city: str) -> DataFrame:
     focus = F.col("city") == city
     return revenue_by_city.groupBy("month").agg(
         F.sum(F.when(focus, F.col("revenue"))).alias("focus_revenue"),
-        half_up(F.avg(F.when(~focus, F.col("revenue"))), 2).alias("others_mean_revenue"),
+        half_up(
+            ratio(F.sum(F.when(~focus, _exact("revenue"))), F.count(F.when(~focus, F.col("revenue")))), 2
+        ).alias("others_mean_revenue"),
     )
 
 

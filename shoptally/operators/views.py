@@ -174,14 +174,16 @@ def monthly_active_customers_by_city(orders: DataFrame, stores: DataFrame) -> Da
 
 
 def new_vs_returning_customers(orders: DataFrame, stores: DataFrame) -> DataFrame:
-    """A customer is new in the month of the first completed order anywhere.
+    """A customer is new in the month of the first completed order anywhere, in a known store or not.
 
-    A customer's window holds one row per city and month.
+    The minimum joins the store months of the same orders by customer, of which it has one row.
     """
-    first_month = F.min("month").over(W.partitionBy("customer_id"))
+    first_order = completed(orders).groupBy("customer_id").agg(
+        month_of(F.min("order_date")).alias("first_month")
+    )
     return (
         customer_city_months(orders, stores)
-        .withColumn("first_month", first_month)
+        .join(first_order, "customer_id")
         .groupBy("city", "month")
         .agg(
             F.count_if(F.col("first_month") == F.col("month")).alias("new_customers"),

@@ -406,36 +406,44 @@ def forecast_rolling(r: Retail) -> DataFrame:
 
 @_query
 def forecast_linreg(r: Retail) -> DataFrame:
-    return forecast.linear_forecast(_split(r))
+    return rounded(forecast.linear_forecast(_split(r)), ["linreg_pred"], 2)
 
 
 @_query
 def forecast_predictions(r: Retail) -> DataFrame:
-    return forecast.predictions(_split(r))
+    return rounded(rounded(forecast.predictions(_split(r)), ["rolling_pred"]), ["linreg_pred"], 2)
 
 
 @_query
 def forecast_metrics(r: Retail) -> DataFrame:
-    return forecast.forecast_metrics(forecast.baseline_predictions(_split(r))).drop("rank")
+    return forecast.forecast_metrics(forecast.predictions(_split(r))).drop("rank")
 
 
 @_query
 def forecast_metrics_guarded(r: Retail) -> DataFrame:
-    predicted = forecast.baseline_predictions(_split(r))
+    predicted = forecast.predictions(_split(r))
     return forecast.forecast_metrics(predicted, skip_zero_actuals=True).drop("rank")
 
 
 @_query
 def forecast_best_model(r: Retail) -> DataFrame:
-    return forecast.best_model(forecast.forecast_metrics(forecast.baseline_predictions(_split(r))))
+    return forecast.best_model(forecast.forecast_metrics(forecast.predictions(_split(r))))
 
 
 @_query
 def forecast_model_specs(r: Retail) -> DataFrame:
     split = _split(r)
-    return forecast.model_specs(
+    specs = forecast.model_specs(
         forecast.forecast_metrics(forecast.predictions(split)), forecast.fit_linear_models(split)
     )
+    return specs.select(
+        "series_id",
+        "best_model",
+        "rmse",
+        F.array_join("features", ",").alias("features"),
+        half_up(F.col("intercept"), 0).alias("intercept"),
+        half_up(F.col("coefficients")[0], 3).alias("previous_month_weight"),
+    )
 
 
 # --- dashboard ------------------------------------------------------------------------------------------

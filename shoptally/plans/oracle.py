@@ -15,7 +15,7 @@ CITIES = [f"NATION_{i}" for i in range(25)]
 
 
 def half_up(value: str, digits: int) -> str:
-    return f"CAST(ROUND(CAST({value} AS DECIMAL(38,{digits + 4})), {digits}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST(CAST(CAST({value} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
 def money(total: str) -> str:
@@ -44,6 +44,21 @@ def months_between(lo: str, hi: str) -> str:
         CAST(date_trunc('month', {lo}) AS TIMESTAMP), CAST(date_trunc('month', {hi}) AS TIMESTAMP), INTERVAL 1 MONTH)) AS m) u"""
 
 
+REGRESSORS = ["previous_month_revenue", "m3", "m6", "month_number", "quarter", "growth"]
+
+
+def over_train(aggregate: str) -> str:
+    return f"({aggregate} FILTER (WHERE kind = 'train') OVER (PARTITION BY series_id))"
+
+
+def orthogonal_step(i: int) -> str:
+    """Take column i as a direction: fit it, and make the columns after it orthogonal to it."""
+    usable = f"{over_train(f'SUM(x{i} * x{i})')} > 1e-9 * v{i}"
+    along = lambda c: f"CASE WHEN {usable} THEN x{i} * {over_train(f'SUM({c} * x{i})')} / {over_train(f'SUM(x{i} * x{i})')} ELSE 0 END"
+    rest = "".join(f", x{j} - {along(f'x{j}')} AS x{j}, v{j}" for j in range(i + 1, 6))
+    return f"SELECT series_id, month, kind, p + {along('y')} AS p, y - {along('y')} AS y{rest} FROM t_step{i}"
+
+
 MONTH = "CAST(date_trunc('month', {}) AS DATE)".format
 AS_OF = "(SELECT MAX(order_date) FROM r_headers)"
 LAST_MONTH = f"CAST({MONTH(AS_OF)} - INTERVAL 1 MONTH AS DATE)"
@@ -54,7 +69,7 @@ CTES: dict[str, str] = {
         SELECT c_custkey AS customer_id, c_name AS customer_name, lower(c_name) || '@example.com' AS email,
                n_name AS city, c_mktsegment AS segment,
                CAST(DATE '1995-01-01' + CAST(c_custkey * 37 % 2000 AS INT) AS DATE) AS signup_date
-        FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+        FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""",
     "r_stores": """
         SELECT CAST(n_nationkey * 2 + k AS BIGINT) AS store_id, n_name || ' Store ' || CAST(k AS VARCHAR) AS store_name,
                n_name AS city, r_name AS region, DATE '1994-01-01' AS open_date
@@ -91,13 +106,13 @@ CTES: dict[str, str] = {
         SELECT CAST(l_suppkey % 50 AS BIGINT) AS store_id, l_partkey AS product_id,
                CAST(date_trunc('month', l_shipdate) AS DATE) AS snapshot_date,
                CAST(CAST(SUM(l_quantity) AS BIGINT) % 40 AS BIGINT) AS stock_level, CAST(8 AS BIGINT) AS reorder_level
-        FROM lineitem WHERE l_shipdate < DATE '2001-08-01' GROUP BY 1, 2, 3""",
+        FROM lineitem GROUP BY 1, 2, 3""",
     "r_campaigns": """
         SELECT p_partkey AS campaign_id, p_name AS campaign_name, n_name AS city_target, p_brand AS channel,
                CAST(DATE '1995-01-01' + CAST(p_partkey * 79 % 2300 AS INT) AS DATE) AS start_date,
                CAST(DATE '1995-01-01' + CAST(p_partkey * 79 % 2300 + 14 + p_size AS INT) AS DATE) AS end_date,
                CAST(p_retailprice * 10 AS DECIMAL(12,2)) AS budget, CAST(p_retailprice * 9 AS DECIMAL(12,2)) AS spend
-        FROM part JOIN nation ON p_partkey % 25 = n_nationkey""",
+        FROM part LEFT JOIN nation ON p_partkey % 25 = n_nationkey""",
     # --- views ---------------------------------------------------------------------------------
     "t_completed": "SELECT * FROM r_orders WHERE order_status = 'completed'",
     "t_sold": """
@@ -132,13 +147,15 @@ CTES: dict[str, str] = {
         SELECT o.order_id, o.customer_id, s.city, {MONTH("o.order_date")} AS month
         FROM t_completed o JOIN r_stores s ON s.store_id = o.store_id""",
     "t_focus_active": f"SELECT DISTINCT customer_id, month FROM t_city_orders WHERE city = '{FOCUS}'",
+    "t_focus_marked": """
+        SELECT a.month, EXISTS (SELECT 1 FROM t_focus_active b WHERE b.customer_id = a.customer_id
+                                AND b.month + INTERVAL 1 MONTH = a.month) AS came_back
+        FROM t_focus_active a""",
+    "t_focus_months": """
+        SELECT month, COUNT(*) AS active, SUM(CAST(came_back AS BIGINT)) AS retained FROM t_focus_marked GROUP BY month""",
     "t_retention": """
-        SELECT m.month,
-          (SELECT COUNT(*) FROM t_focus_active c WHERE c.month = m.month) AS active,
-          (SELECT COUNT(*) FROM t_focus_active p WHERE p.month = CAST(m.month - INTERVAL 1 MONTH AS DATE)) AS prior,
-          (SELECT COUNT(*) FROM t_focus_active c JOIN t_focus_active p ON p.customer_id = c.customer_id
-             AND p.month = CAST(c.month - INTERVAL 1 MONTH AS DATE) WHERE c.month = m.month) AS retained
-        FROM (SELECT DISTINCT month FROM t_focus_active) m""",
+        SELECT now.month, now.active, COALESCE(before.active, 0) AS prior, CAST(now.retained AS BIGINT) AS retained
+        FROM t_focus_months now LEFT JOIN t_focus_months before ON before.month + INTERVAL 1 MONTH = now.month""",
     # --- analytics tables ------------------------------------------------------------------------
     "t_customer_summary": f"""
         SELECT c.customer_id, c.signup_date, o.first_order_date, o.last_order_date, {big("o.n")} AS total_orders,
@@ -315,11 +332,25 @@ CTES: dict[str, str] = {
     "t_split": """
         SELECT *, CASE WHEN row_number() OVER (PARTITION BY series_id ORDER BY month DESC) <= 3 THEN 'test' ELSE 'train' END
                AS split FROM t_features""",
+    "t_probed": f"""
+        SELECT series_id, month, split AS kind, revenue AS y, {", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(REGRESSORS))}
+        FROM t_split
+        UNION ALL
+        SELECT series_id, NULL, 'probe' || CAST(k AS VARCHAR), NULL, {", ".join(f"CAST(k = {i + 1} AS DOUBLE)" for i in range(6))}
+        FROM (SELECT DISTINCT series_id FROM t_split) s, range(7) r(k)""",
+    "t_step0": f"""
+        SELECT series_id, month, kind, {over_train("AVG(y)")} AS p, y - {over_train("AVG(y)")} AS y, {", ".join(f"x{i} - {over_train(f'AVG(x{i})')} AS x{i}" for i in range(6))},
+               {", ".join(f"{over_train(f'VAR_POP(x{i})')} * {over_train('COUNT(*)')} AS v{i}" for i in range(6))} FROM t_probed""",
+    **{f"t_step{i + 1}": orthogonal_step(i) for i in range(6)},
+    "t_linear": "SELECT series_id, month, kind, p AS predicted FROM t_step6",
     "t_predicted": """
         SELECT series_id, 0 AS rank, 'naive' AS model, revenue AS actual, previous_month_revenue AS predicted
         FROM t_split WHERE split = 'test'
         UNION ALL
-        SELECT series_id, 1, 'rolling_avg', revenue, m3 FROM t_split WHERE split = 'test'""",
+        SELECT series_id, 1, 'rolling_avg', revenue, m3 FROM t_split WHERE split = 'test'
+        UNION ALL
+        SELECT s.series_id, 2, 'linear_regression', s.revenue, l.predicted FROM t_split s
+        JOIN t_linear l ON l.series_id = s.series_id AND l.month = s.month AND l.kind = 'test'""",
     "t_metrics": f"""
         SELECT series_id, rank, model, {half_up("AVG(abs(actual - predicted))", 2)} AS mae,
                {half_up("sqrt(AVG((actual - predicted) * (actual - predicted)))", 2)} AS rmse,
@@ -679,12 +710,15 @@ _BODIES: dict[str, str] = {
     "v_marketing_spend_by_city_month": "SELECT * FROM t_spend",
     "q_focus_marketing_spend": f"SELECT city, month, total_spend FROM t_spend WHERE city = '{FOCUS}'",
     "v_focus_stockout_indicators": f"""
-        SELECT {MONTH("i.snapshot_date")} AS month, s.store_name,
-               COUNT(*) FILTER (WHERE i.stock_level = 0) AS zero_stock_snapshots,
-               COUNT(*) FILTER (WHERE i.stock_level <= i.reorder_level) AS at_or_below_reorder_snapshots,
-               COUNT(*) AS total_snapshots,
-               {percent("COUNT(*) FILTER (WHERE i.stock_level <= i.reorder_level)", "COUNT(*)")} AS pct_snapshots_constrained
-        FROM r_inventory i JOIN r_stores s ON s.store_id = i.store_id WHERE s.city = '{FOCUS}' GROUP BY 1, 2""",
+        SELECT * FROM (WITH flags AS (
+          SELECT {MONTH("snapshot_date")} AS month, store_id, CAST(stock_level = 0 AS INTEGER) AS none_left,
+                 CAST(reorder_level >= stock_level AS INTEGER) AS low FROM r_inventory),
+        sums AS (
+          SELECT month, store_id, SUM(none_left) AS none_left, SUM(low) AS low, COUNT(*) AS n FROM flags GROUP BY ALL)
+        SELECT month, store_name, CAST(none_left AS BIGINT) AS zero_stock_snapshots,
+               CAST(low AS BIGINT) AS at_or_below_reorder_snapshots, n AS total_snapshots,
+               {percent("low", "n")} AS pct_snapshots_constrained
+        FROM sums JOIN r_stores USING (store_id) WHERE city = '{FOCUS}') q""",
     "v_return_rate_by_city_month": "SELECT * FROM t_return_rate",
     "q_focus_return_rate": f"""SELECT month, order_count, return_count, return_rate_pct FROM t_return_rate
         WHERE city = '{FOCUS}'""",
@@ -692,16 +726,22 @@ _BODIES: dict[str, str] = {
     "q_focus_category_mix": f"SELECT * FROM t_mix WHERE city = '{FOCUS}'",
     "v_monthly_active_customers_by_city":
         "SELECT city, month, COUNT(DISTINCT customer_id) AS active_customers FROM t_city_orders GROUP BY 1, 2",
-    "v_new_vs_returning_customers_by_city_month": """
-        SELECT a.city, a.month, COUNT(*) FILTER (WHERE f.first_month = a.month) AS new_customers,
-               COUNT(*) FILTER (WHERE f.first_month < a.month) AS returning_customers, COUNT(*) AS total_active_customers
-        FROM (SELECT DISTINCT customer_id, city, month FROM t_city_orders) a
-        JOIN (SELECT customer_id, MIN(month) AS first_month FROM t_city_orders GROUP BY 1) f
-          ON f.customer_id = a.customer_id GROUP BY 1, 2""",
+    "v_new_vs_returning_customers_by_city_month": f"""
+        SELECT * FROM (WITH dated AS (
+          SELECT store_id, customer_id, {MONTH("order_date")} AS month,
+                 {MONTH("MIN(order_date) OVER (PARTITION BY customer_id)")} AS began FROM t_completed),
+        seen AS (SELECT DISTINCT city, customer_id, month, month = began AS is_new FROM dated JOIN r_stores USING (store_id))
+        SELECT city, month, CAST(SUM(CASE WHEN is_new THEN 1 ELSE 0 END) AS BIGINT) AS new_customers,
+               CAST(SUM(CASE WHEN is_new THEN 0 ELSE 1 END) AS BIGINT) AS returning_customers,
+               COUNT(customer_id) AS total_active_customers
+        FROM seen GROUP BY city, month) q""",
     "v_repeat_purchase_rate_by_city_month": f"""
-        SELECT city, month, COUNT(*) AS active_customers, COUNT(*) FILTER (WHERE n > 1) AS repeat_customers,
-               {percent("COUNT(*) FILTER (WHERE n > 1)", "COUNT(*)")} AS repeat_purchase_rate_pct
-        FROM (SELECT city, month, customer_id, COUNT(*) AS n FROM t_city_orders GROUP BY 1, 2, 3) g GROUP BY 1, 2""",
+        SELECT * FROM (WITH numbered AS (
+          SELECT city, month, row_number() OVER (PARTITION BY city, month, customer_id ORDER BY order_id) AS k FROM t_city_orders)
+        SELECT city, month, CAST(SUM(CAST(k = 1 AS INTEGER)) AS BIGINT) AS active_customers,
+               CAST(SUM(CAST(k = 2 AS INTEGER)) AS BIGINT) AS repeat_customers,
+               {percent("SUM(CAST(k = 2 AS INTEGER))", "SUM(CAST(k = 1 AS INTEGER))")} AS repeat_purchase_rate_pct
+        FROM numbered GROUP BY city, month) q""",
     "v_avg_order_value_by_city_month":
         f"SELECT *, {half_up(ratio('revenue', 'order_count'), 2)} AS avg_order_value FROM t_revenue",
     "v_focus_customer_retention": f"""
@@ -781,6 +821,23 @@ _BODIES: dict[str, str] = {
         WHERE split = 'test'""",
     "forecast_rolling": f"""SELECT series_id, month, revenue, {half_up("m3", 4)} AS rolling_pred FROM t_split
         WHERE split = 'test'""",
+    "forecast_linreg": f"""
+        SELECT s.series_id, s.month, s.revenue, {half_up("l.predicted", 2)} AS linreg_pred
+        FROM t_split s JOIN t_linear l ON l.series_id = s.series_id AND l.month = s.month AND l.kind = 'test'""",
+    "forecast_predictions": f"""
+        SELECT s.series_id, s.month, s.revenue AS actual_revenue, s.previous_month_revenue AS naive_pred,
+               {half_up("m3", 4)} AS rolling_pred, {half_up("l.predicted", 2)} AS linreg_pred
+        FROM t_split s JOIN t_linear l ON l.series_id = s.series_id AND l.month = s.month AND l.kind = 'test'""",
+    "forecast_model_specs": f"""
+        SELECT b.series_id, b.model AS best_model, b.rmse,
+               'previous_month_revenue,previous_3_month_avg_revenue,previous_6_month_avg_revenue,month_number,quarter,revenue_growth_rate'
+                 AS features,
+               CASE WHEN b.rank = 2 THEN {half_up("w.at_zero", 0)} END AS intercept,
+               CASE WHEN b.rank = 2 THEN {half_up("w.at_one - w.at_zero", 3)} END AS previous_month_weight
+        FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY rmse, rank) AS k FROM t_metrics) b
+        JOIN (SELECT series_id, MAX(predicted) FILTER (WHERE kind = 'probe0') AS at_zero,
+                     MAX(predicted) FILTER (WHERE kind = 'probe1') AS at_one FROM t_linear GROUP BY 1) w
+          ON w.series_id = b.series_id WHERE k = 1""",
     "forecast_metrics": "SELECT series_id, model, mae, rmse, mape_pct FROM t_metrics",
     "forecast_metrics_guarded": "SELECT series_id, model, mae, rmse, mape_pct FROM t_metrics",
     "forecast_best_model": """
@@ -810,7 +867,8 @@ _BODIES: dict[str, str] = {
         GROUP BY 1""",
     "focus_vs_others_monthly": f"""
         SELECT month, SUM(revenue) FILTER (WHERE city = '{FOCUS}') AS focus_revenue,
-               {half_up(f"AVG(revenue) FILTER (WHERE city <> '{FOCUS}')", 2)} AS others_mean_revenue
+               {half_up(ratio(f"SUM(CAST(revenue AS DECIMAL(20,2))) FILTER (WHERE city <> '{FOCUS}')",
+                              f"COUNT(revenue) FILTER (WHERE city <> '{FOCUS}')"), 2)} AS others_mean_revenue
         FROM t_revenue GROUP BY 1""",
     "top_products_by_revenue": "SELECT * FROM t_product_performance ORDER BY revenue DESC, product_id LIMIT 10",
     "top_products_by_return_rate": "SELECT * FROM t_product_performance ORDER BY return_rate DESC, product_id LIMIT 10",
