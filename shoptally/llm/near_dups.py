@@ -10,10 +10,10 @@ Links are looked for without listing a bucket's pairs:
 
 1. Each node is compared with one leader only, of all members of its buckets the one whose
    buckets are fullest: in a group of edited copies that is the unedited text.
-2. Buckets whose members are not all connected by then are looked at again.  Elements that occur in one of
-   their nodes only can be shared with nobody, so |x| + |y| <= 2.25 * shared(x), shared(y) must hold for a
-   link (it says 100 * shared >= 80 * union).  Members that fail this against the extremes of the other
-   components of their bucket are dropped, and what is left is compared across components.
+2. Buckets whose members are not all connected by then are looked at again.  Their nodes are compared across
+   components where they share one of their rarest elements: sets with 80% in common must share one of the
+   first few in any common order.  Elements that occur in one node only can be shared with nobody, which
+   bounds the size of a node's partners and leaves out most of what is left.
 
 Every candidate is verified on the full sets, and components are found by alternating star contraction.
 No step has a cap, and hot buckets are only ever aggregated or joined.
@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoptally.llm.counters import SCHEMA, Counter, slot, summed
 from shoptally.llm.storage import saved
 from shoptally.llm.words import fold_table, mix, slices, text_bytes, word_hashes
 
@@ -209,48 +210,59 @@ def _open_members(members: DataFrame, components: DataFrame) -> DataFrame:
 
 
 def _cross_pairs(open_members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs of members of one bucket and of different components that may be linked."""
+    """Pairs of nodes of different components that may be linked, from members of open buckets.
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Sets with at least a common elements share one among the |x| - a + 1 that come first in any order of
+    all elements, and a is at least 4/9 of |x| and the smallest set around.  The order is by how often an
+    element occurs in the sets looked at (in a table of fixed size), so what comes first is rare.
+    """
+    sizes = saved(open_members.groupBy("band", "key").agg(F.min("n").alias("low")))
+    nodes = open_members.join(sizes, ["band", "key"]).groupBy("node", "component", "n").agg(F.min("low").alias("low"))
+    sets = saved(texts.join(saved(nodes), "node"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter()
+        for batch in slices(batches, "text"):
+            counter.add(shingles(*text_bytes(batch.column("text")))[1])
+        yield from counter.parts()
+
+    sent = texts.sparkSession.sparkContext.broadcast(summed(sets.select("text").mapInArrow(count, SCHEMA)))
+
+    def first_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             rows, elements = shingles(*text_bytes(batch.column("text")))
-            node = batch.column("node").take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays([node, pa.array(elements.view(np.int64))], names=["node", "element"])
-
-    nodes = open_members.select("node").distinct()
-    elements = texts.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(explode, "node long, element long")
-    alone = elements.groupBy("element").agg(F.count(F.lit(1)).alias("k"), F.min("node").alias("node")).where("k = 1")
-    alone = saved(alone.groupBy("node").agg(F.count(F.lit(1)).alias("alone")))
-    # reach: the largest set that a node can be linked with, given what it can share at all.
-    m = open_members.join(alone, "node", "left").withColumn(
-        "reach", F.floor((100 + PERCENT) * (F.col("n") - F.coalesce("alone", F.lit(0))) / F.lit(PERCENT)) - F.col("n")
-    )
-    m = saved(m.select("band", "key", "node", "component", "n", "reach"))
-    bucket = ["band", "key"]
-    first = saved(
-        m.groupBy(bucket).agg(
-            F.max(F.struct("reach", "component")).alias("far"), F.min(F.struct("n", "component")).alias("low")
-        )
-    )
-    second = saved(
-        m.join(first, bucket)
-        .groupBy(bucket)
-        .agg(
-            F.max(F.when(F.col("component") != F.col("far.component"), F.col("reach"))).alias("far2"),
-            F.min(F.when(F.col("component") != F.col("low.component"), F.col("n"))).alias("low2"),
-        )
-    )
-    far = F.when(F.col("component") != F.col("far.component"), F.col("far.reach")).otherwise(F.col("far2"))
-    low = F.when(F.col("component") != F.col("low.component"), F.col("low.n")).otherwise(F.col("low2"))
-    extremes = saved(first.join(second, bucket))
-    active = saved(m.join(extremes, bucket).where((far >= F.col("n")) & (low <= F.col("reach"))).select(m.columns))
-    x, y = active.alias("x"), active.alias("y")
+            often = sent.value[slot(elements)]
+            order = np.lexsort((elements, often, rows))
+            n, low = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("n", "low"))
+            shared = np.bincount(rows[often > 1], minlength=len(batch))
+            # A partner has at least 80% of this size, whatever else is around.
+            least = -(-PERCENT * (n + np.maximum(low, -(-PERCENT * n // 100))) // (100 + PERCENT))
+            place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+            early = place < (n - least + 1)[rows]
+            first, place = order[early], place[early]
+            # reach: the largest set that this one can be linked with, given what it can share at all.
+            reach = (100 + PERCENT) * shared // PERCENT - n
+            useful = (often[first] > 1) & (reach >= low)[rows[first]]
+            first, place = first[useful], place[useful]
+            row = pa.array(rows[first])
+            columns = [pa.array(elements[first].view(np.int64))]
+            columns += [batch.column(k).take(row) for k in ("node", "component", "n")]
+            columns += [pa.array(reach[rows[first]]), pa.array(n[rows[first]] - place)]
+            yield pa.RecordBatch.from_arrays(columns, names=["element", "node", "component", "n", "reach", "after"])
+
+    # after: how many elements of its set stand at or after this one in the order.
+    schema = "element long, node long, component long, n long, reach long, after long"
+    rare = saved(sets.mapInArrow(first_ones, schema))
+    mixed = rare.groupBy("element").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    rare = saved(rare.join(saved(mixed.where("lo <> hi").select("element")), "element"))
+    x, y = rare.alias("x"), rare.alias("y")
     may = (
-        (F.col("x.band") == F.col("y.band"))
-        & (F.col("x.key") == F.col("y.key"))
+        (F.col("x.element") == F.col("y.element"))
         & (F.col("x.component") < F.col("y.component"))
         & (F.col("x.n") <= F.col("y.reach"))
         & (F.col("y.n") <= F.col("x.reach"))
+        # From the first element that both have on, there must be enough of them left in either.
+        & ((100 + PERCENT) * F.least("x.after", "y.after") >= PERCENT * (F.col("x.n") + F.col("y.n")))
     )
     return x.join(y, may).select(F.col("x.node").alias("x"), F.col("y.node").alias("y")).distinct()
 
