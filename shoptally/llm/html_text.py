@@ -183,7 +183,7 @@ def best_path(page: Page) -> tuple[str, int] | None:
             content[number] += worth
     best = max(
         (
-            (2 * c >= total, e.tag in MAIN, 10 * c // max(1, total), e.path.count(">"), c, e.path)
+            (2 * c >= total, e.tag in MAIN, 10 * c >= 9 * total, e.path.count(">"), c, e.path)
             for c, e in zip(content, page.containers, strict=True)
             if c
         ),

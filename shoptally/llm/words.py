@@ -67,9 +67,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base of the polynomial hash modulo 2^64, and of its inverse."""
-    if len(_powers.get("up", ())) < n:
+    if "up" not in _powers or len(_powers["up"]) < n:
         for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
-            steps = np.full(n, base, dtype=np.uint64)
+            steps = np.full(max(n, 1), base, dtype=np.uint64)
             steps[:1] = 1
             _powers[name] = np.cumprod(steps, dtype=np.uint64)
     return _powers["up"][:n], _powers["down"][:n]
