@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,17 @@ def shared_folder(spark: SparkSession) -> str:
     return named or context.getCheckpointDir()
 
 
-def saved(rows: DataFrame) -> DataFrame:
-    """Write ``rows`` to the checkpoint folder and cut the lineage there."""
-    shared_folder(rows.sparkSession)
-    return rows.checkpoint()
+def saved(rows: DataFrame, release: bool = False) -> DataFrame:
+    """Write ``rows`` to the checkpoint folder and cut the lineage there.
+
+    Shuffle files of finished steps stay until the driver's JVM next collects its garbage;
+    ``release`` asks for that now, after a step with large shuffles that is not needed any more.
+    """
+    spark = rows.sparkSession
+    shared_folder(spark)
+    out = rows.checkpoint()
+    if release:
+        del rows
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+    return out

@@ -35,15 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoptally.llm.counters import SCHEMA, SLOTS, Counter, slot, summed
 from shoptally.llm.storage import saved
 from shoptally.llm.words import mix, powers, prefix_hashes, slices, span_hashes, text_bytes
 
 MATCH = 100
 GRAM = 32
 WINDOW = MATCH - GRAM + 1
-#: Counters for anchors, and how many rows of one anchor a task may get before it counts as full.
-SLOTS = 1 << 19
-PARTS = 16
+#: How many rows of one slot of anchors a task may get before it counts as full.
 FULL = 1000
 
 _PLACE = "doc long, tie long"
@@ -120,7 +119,7 @@ def _chunk_rows(batch: pa.RecordBatch, full: np.ndarray | None) -> tuple[dict[st
     data, offsets = text_bytes(batch.column("text"))
     found = runs(data, offsets)
     if full is not None and len(found["key"]):
-        split = full[(found["key"] % np.uint64(SLOTS)).astype(np.int64)]
+        split = full[slot(found["key"])]
         if split.any():
             n = found["n"][split]
             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -143,7 +142,8 @@ def _chunk_rows(batch: pa.RecordBatch, full: np.ndarray | None) -> tuple[dict[st
     spans = order[copy]
     end = found["start"] + found["n"] - 1 + MATCH
     merged = _merged(doc[spans], tie[spans], found["start"][spans], end[spans])
-    return {k: v[order[new]] for k, v in found.items()}, merged
+    firsts = np.sort(order[new])  # in document order, which packs better
+    return {k: v[firsts] for k, v in found.items()}, merged
 
 
 # --- suffix sort ----------------------------------------------------------------------------------
@@ -263,32 +263,16 @@ def _numpy(table: pa.Table | pa.RecordBatch, name: str) -> np.ndarray:
 
 
 def _full_slots(placed: DataFrame) -> np.ndarray:
-    """Which slots hold too many rows: the counters of all chunks, summed in parts."""
+    """Which slots hold too many rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SLOTS, np.uint32)
+        counter = Counter()
         for batch in slices(batches, "text"):
-            rows, _ = _chunk_rows(batch, None)
-            total += np.bincount((rows["key"] % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS).astype(np.uint32)
-        if total.any():
-            parts = [p.tobytes() for p in np.split(total, PARTS)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array(parts)], names=["part", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                sums[part] = sums.get(part, 0) + np.frombuffer(counts, np.uint32).astype(np.int64)
-        if sums:
-            blobs = pa.array([v.tobytes() for v in sums.values()])
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), blobs], names=["part", "counts"])
-
-    schema = "part int, counts binary"
-    counted = placed.mapInArrow(count, schema).repartition("part").mapInArrow(add, schema)
-    total = np.zeros((PARTS, SLOTS // PARTS), np.int64)
-    for r in counted.collect():  # PARTS rows of fixed size
-        total[r["part"]] = np.frombuffer(r["counts"], np.int64)
-    return total.ravel() > max(FULL, 8 * int(total.sum()) // SLOTS)
+            counter.add(_chunk_rows(batch, None)[0]["key"])
+        yield from counter.parts()
+
+    total = summed(placed.mapInArrow(count, SCHEMA))
+    return total > max(FULL, 8 * int(total.sum()) // SLOTS)
 
 
 def _settle_runs(placed: DataFrame, full: np.ndarray) -> DataFrame:
@@ -401,8 +385,8 @@ def _sorted_copies(placed: DataFrame, settled: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays(arrays, names=["key", "doc", "tie", "start", "pack"])
 
     left = settled.where("size(keys) > 0").select("doc", "tie", "keys", "at", "packs")
-    texts = placed.select("doc", "tie", "text").dropDuplicates(["doc", "tie"])
-    bodies = left.join(texts, ["doc", "tie"]).mapInArrow(
+    # All columns of the documents are kept, so that this join and the last one share one exchange.
+    bodies = placed.join(left, ["doc", "tie"]).mapInArrow(
         with_bytes, f"key long, {_PLACE}, start long, pack long, body binary"
     )
     return bodies.repartition("key").mapInArrow(sort, f"key long, {_PLACE}, start long, pack long")
@@ -412,27 +396,23 @@ def _numpy_values(lists: pa.ListArray) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False)
 
 
-def _placed(docs: DataFrame) -> DataFrame:
-    """doc, tie, text: the order of documents, and the text without null."""
+def _placed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """doc, tie, text, doc_id: the order of documents, the text without null; whether ids are repeated."""
     text = F.coalesce(F.col("text"), F.lit(""))
     repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    tie = F.lit(0).cast("long") if repeated.isEmpty() else F.xxhash64(text)
+    repeats = not repeated.isEmpty()
+    tie = F.xxhash64(text) if repeats else F.lit(0).cast("long")
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
-    return docs.select(doc.alias("doc"), tie.alias("tie"), text.alias("text"), "doc_id")
-
-
-def copied_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents (doc, tie, text, doc_id) and, per (doc, tie), starts and ends of spans in two tables."""
-    placed = _placed(docs.select("doc_id", "text"))
-    full = _full_slots(placed.select("doc", "tie", "text"))
-    settled = saved(_by_document(_settle_runs(placed.select("doc", "tie", "text"), full)))
-    return placed, settled
+    return docs.select(doc.alias("doc"), tie.alias("tie"), text.alias("text"), "doc_id"), repeats
 
 
 def report(docs: DataFrame) -> DataFrame:
     """Per document: n_bytes, n_removed, n_spans, kept_sha256."""
-    placed, settled = copied_spans(docs)
-    more = _by_document(_sorted_copies(placed, settled)).select(
+    placed, repeats = _placed(docs.select("doc_id", "text"))
+    texts = placed.select("doc", "tie", "text")
+    settled = saved(_by_document(_settle_runs(texts, _full_slots(texts))), release=True)
+    once = placed.dropDuplicates(["doc", "tie"]) if repeats else placed
+    more = _by_document(_sorted_copies(once, settled)).select(
         "doc", "tie", F.col("starts").alias("more_starts"), F.col("ends").alias("more_ends")
     )
     id_type = docs.schema["doc_id"].dataType.simpleString()
