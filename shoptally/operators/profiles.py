@@ -55,42 +55,47 @@ def campaign_spend_by_city(campaigns: DataFrame) -> DataFrame:
     )
 
 
-# --- month x city pivots ------------------------------------------------------------------
+# --- month x city tables ------------------------------------------------------------------
 
 
-def _newest(pivoted: DataFrame, rows: int | None) -> DataFrame:
-    return pivoted if rows is None else pivoted.orderBy(F.col("month").desc()).limit(rows)
+def _newest(per_city_month: DataFrame, months: int | None) -> DataFrame:
+    """The rows of the newest months: calendar months, so few whatever the size of the facts."""
+    if months is None:
+        return per_city_month
+    newest = per_city_month.select("month").distinct().orderBy(F.col("month").desc()).limit(months)
+    return per_city_month.join(newest, "month", "left_semi")
 
 
-def _pivot_cities(per_city_month: DataFrame, cities: Sequence[str], total: Column) -> DataFrame:
-    """Months down, the named cities across, 0 where a city has nothing."""
-    return per_city_month.groupBy("month").pivot("city", list(cities)).agg(total).na.fill(0)
+def across(per_city_month: DataFrame, value: str, cities: Sequence[str]) -> DataFrame:
+    """Wide form: months down, the cities of the caller's list across, 0 where a city has nothing."""
+    return per_city_month.groupBy("month").pivot("city", list(cities)).agg(F.sum(value)).na.fill(0)
 
 
-def monthly_signups(customers: DataFrame, cities: Sequence[str]) -> DataFrame:
-    signups = customers.groupBy("city", month_of("signup_date").alias("month")).agg(F.count(F.lit(1)).alias("n"))
-    return _pivot_cities(signups, cities, F.sum("n"))
+def monthly_signups(customers: DataFrame) -> DataFrame:
+    """(month, city, signups)"""
+    return customers.groupBy(month_of("signup_date").alias("month"), "city").agg(F.count(F.lit(1)).alias("signups"))
 
 
-def monthly_orders(
-    orders: DataFrame, stores: DataFrame, cities: Sequence[str], newest: int | None = None
-) -> DataFrame:
-    """Orders of any status."""
+def monthly_orders(orders: DataFrame, stores: DataFrame, newest: int | None = None) -> DataFrame:
+    """(month, city, orders) of any status."""
     per_store = orders.groupBy("store_id", month_of("order_date").alias("month")).agg(F.count(F.lit(1)).alias("n"))
-    return _newest(_pivot_cities(per_store.join(city_of(stores), "store_id"), cities, F.sum("n")), newest)
+    per_city = per_store.join(city_of(stores), "store_id").groupBy("month", "city").agg(F.sum("n").alias("orders"))
+    return _newest(per_city, newest)
 
 
 def monthly_gross_revenue(
-    orders: DataFrame, order_items: DataFrame, stores: DataFrame, cities: Sequence[str], newest: int | None = None
+    orders: DataFrame, order_items: DataFrame, stores: DataFrame, newest: int | None = None
 ) -> DataFrame:
-    """Line totals of orders of any status."""
+    """(month, city, revenue): line totals of orders of any status, of the newest months with lines."""
     per_store = (
         orders.join(order_totals(order_items), "order_id")
         .groupBy("store_id", month_of("order_date").alias("month"))
         .agg(F.sum("revenue").alias("revenue"))
     )
-    total = money(F.sum("revenue"))
-    return _newest(_pivot_cities(per_store.join(city_of(stores), "store_id"), cities, total), newest)
+    per_city = per_store.join(city_of(stores), "store_id").groupBy("month", "city").agg(
+        money(F.sum("revenue")).alias("revenue")
+    )
+    return _newest(per_city, newest)
 
 
 def returned_share_by_city(

@@ -11,7 +11,6 @@ from __future__ import annotations
 import re
 
 FOCUS = "NATION_0"
-CITIES = [f"NATION_{i}" for i in range(25)]
 
 
 def half_up(value: str, digits: int) -> str:
@@ -665,12 +664,6 @@ def shares(relation: str, column: str) -> str:
         {half_up(ratio("COUNT(*)", "SUM(COUNT(*)) OVER ()"), 4)} AS share FROM {relation} GROUP BY {column}"""
 
 
-def pivot(rows: str, total: str, newest: int | None = None) -> str:
-    columns = ", ".join(f"{total.replace('?', c)} AS \"{c}\"" for c in CITIES)
-    limit = f" ORDER BY month DESC LIMIT {newest}" if newest else ""
-    return f"SELECT month, {columns} FROM ({rows}) g GROUP BY month{limit}"
-
-
 def describe(relation: str, column: str) -> str:
     x = f"CAST({column} AS DOUBLE)"
     quartiles = ", ".join(
@@ -895,15 +888,15 @@ _BODIES: dict[str, str] = {
     "snapshots_per_store": "SELECT store_id, COUNT(*) AS snapshots FROM r_inventory GROUP BY 1",
     "campaign_spend_by_city": f"""SELECT city_target AS city, COUNT(*) AS campaigns, {money("SUM(spend)")} AS total_spend
         FROM r_campaigns GROUP BY 1""",
-    "monthly_signups_pivot_city": pivot(
-        f"SELECT {MONTH('signup_date')} AS month, city FROM r_customers", "COUNT(*) FILTER (WHERE city = '?')"),
-    "monthly_orders_pivot_city": pivot(
-        f"SELECT {MONTH('o.order_date')} AS month, s.city FROM r_orders o JOIN r_stores s ON s.store_id = o.store_id",
-        "COUNT(*) FILTER (WHERE city = '?')", 6),
-    "monthly_gross_revenue_pivot_city": pivot(
-        f"""SELECT {MONTH('o.order_date')} AS month, s.city, i.line_total FROM r_orders o
-            JOIN r_items i ON i.order_id = o.order_id JOIN r_stores s ON s.store_id = o.store_id""",
-        money("COALESCE(SUM(line_total) FILTER (WHERE city = '?'), 0)"), 4),
+    "monthly_signups_pivot_city":
+        f"SELECT {MONTH('signup_date')} AS month, city, COUNT(*) AS signups FROM r_customers GROUP BY ALL",
+    "monthly_orders_pivot_city": f"""
+        SELECT {MONTH('o.order_date')} AS month, s.city, COUNT(*) AS orders FROM r_orders o JOIN r_stores s USING (store_id)
+        WHERE {MONTH('o.order_date')} > CAST({MONTH(AS_OF)} - INTERVAL 6 MONTH AS DATE) GROUP BY ALL""",
+    "monthly_gross_revenue_pivot_city": f"""
+        SELECT {MONTH('o.order_date')} AS month, s.city, {money("SUM(i.line_total)")} AS revenue
+        FROM r_orders o JOIN r_items i USING (order_id) JOIN r_stores s USING (store_id)
+        WHERE {MONTH('o.order_date')} > CAST({MONTH(AS_OF)} - INTERVAL 4 MONTH AS DATE) GROUP BY ALL""",
     "returned_share_by_city_recent": f"""
         SELECT s.city, COUNT(*) AS orders, {half_up('''AVG(CASE WHEN o.order_id IN (SELECT order_id FROM r_returns)
                THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)''', 4)} AS returned_share

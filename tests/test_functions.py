@@ -13,7 +13,8 @@ def value(spark, column):
 
 @pytest.mark.parametrize(
     ("x", "digits", "expected"),
-    [(1.005, 2, 1.01), (2.675, 2, 2.68), (-1.005, 2, -1.01), (0.25, 1, 0.3), (-0.04, 1, 0.0), (0.00005, 4, 0.0001)],
+    [(1.005, 2, 1.01), (2.675, 2, 2.68), (-1.005, 2, -1.01), (0.25, 1, 0.3), (-0.04, 1, 0.0), (0.00005, 4, 0.0001),
+     (1.00499996, 2, 1.0), (12.3499996, 1, 12.3)],
 )
 def test_ties_round_away_from_zero(spark, x, digits, expected):
     assert value(spark, numeric.half_up(F.lit(x), digits)) == expected

@@ -24,17 +24,23 @@ def test_counts_and_shares(retail):
     assert by(profiles.campaign_spend_by_city(retail.marketing_campaigns), "city")["North"]["total_spend"] == 60.0
 
 
-def test_pivots(retail):
+def test_month_and_city_tables(retail):
     cities = ["North", "South", "East"]
-    orders = by(profiles.monthly_orders(retail.orders, retail.stores, cities), "month")
-    assert (orders[d("2024-04-01")]["North"], orders[d("2024-04-01")]["South"], orders[d("2024-04-01")]["East"]) == (1, 2, 0)
-    assert sorted(by(profiles.monthly_orders(retail.orders, retail.stores, cities, 2), "month")) == [
-        d("2024-04-01"), d("2024-05-01"),
-    ]
-    gross = by(profiles.monthly_gross_revenue(retail.orders, retail.order_items, retail.stores, cities, 4), "month")
-    assert gross[d("2024-04-01")]["South"] == 120.0  # cancelled orders included
-    assert len(gross) == 4 and d("2024-03-01") not in gross
-    assert by(profiles.monthly_signups(retail.customers, cities), "month")[d("2024-02-01")]["South"] == 2
+    wide = by(profiles.across(profiles.monthly_orders(retail.orders, retail.stores), "orders", cities), "month")
+    assert (wide[d("2024-04-01")]["North"], wide[d("2024-04-01")]["South"], wide[d("2024-04-01")]["East"]) == (1, 2, 0)
+    newest = profiles.monthly_orders(retail.orders, retail.stores, 2)
+    assert {r.month for r in newest.collect()} == {d("2024-04-01"), d("2024-05-01")}
+    gross = profiles.monthly_gross_revenue(retail.orders, retail.order_items, retail.stores, 4).collect()
+    found = {(r.month, r.city): r.revenue for r in gross}
+    assert found[d("2024-04-01"), "South"] == 120.0  # cancelled orders included
+    assert len({m for m, _ in found}) == 4 and d("2024-03-01") not in {m for m, _ in found}
+    signups = {(r.month, r.city): r.signups for r in profiles.monthly_signups(retail.customers).collect()}
+    assert signups[d("2024-02-01"), "South"] == 2
+
+
+def test_any_number_of_cities(spark):
+    customers = spark.range(1500).selectExpr("concat('c', id) AS city", "DATE '2024-01-05' AS signup_date")
+    assert profiles.monthly_signups(customers).count() == 1500
 
 
 def test_returned_share(retail):

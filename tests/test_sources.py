@@ -71,8 +71,19 @@ def test_exported_records_equal_the_table(retail):
     assert {r["month"]: r for r in records} == table
 
 
-def test_pivot_refuses_too_many_cities(spark, monkeypatch):
-    monkeypatch.setattr(catalog, "MAX_PIVOT_CITIES", 2)
-    stores = spark.createDataFrame([("a",), ("b",), ("c",)], "city string")
-    with pytest.raises(ValueError, match="more than 2"):
-        catalog.city_names(stores)
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("name,extra,id\nx,1,7\n")
+    rows = files.read_table(spark, str(tmp_path / "a.csv"), "id INT, name STRING", "csv").collect()
+    assert [tuple(r) for r in rows] == [(7, "x")]
+    assert files.try_load(spark, str(tmp_path / "a.csv"), "id INT, other STRING", "csv") is None
+
+
+def test_a_bad_cell_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n1,x\nfour,y\n")
+    assert files.try_load(spark, str(tmp_path / "a.csv"), "id INT, name STRING", "csv") is None
+
+
+def test_a_damaged_later_file_is_noticed(spark, tmp_path):
+    spark.range(100).repartition(1).write.parquet(str(tmp_path / "t"))
+    (tmp_path / "t" / "part-99999.parquet").write_bytes(b"PAR1 damaged PAR1")
+    assert files.try_load(spark, str(tmp_path / "t"), "id LONG") is None
