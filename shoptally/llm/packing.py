@@ -3,9 +3,10 @@
 A document becomes its token ids and an end id, cut into pieces of ``capacity`` where it is longer.
 How many pieces of each length there are is all that a packing depends on, and that table has at
 most ``capacity`` rows whatever the size of the corpus, so the search runs on it: take the largest
-length left, list the undominated fillings of the room beside it, put the best one into as many
-sequences as the counts allow, and go on; go back and try the next filling where the waste so far
-shows that the best packing known cannot be beaten.  The first such packing is the best-fit one.
+length left, list the undominated fillings of the room beside it lazily and least waste first, put the
+best one into as many sequences as the counts allow, and go on; go back and try the next filling where
+the waste so far shows that the best packing known cannot be beaten.  The first such packing is the
+best-fit one.  The search is whole unless ``NODES`` or ``STEPS`` end it.
 Spark then ranks the pieces of each length and looks each rank up in the list of fillings.
 
 Defined cases: a null or empty text is the end id alone.  Equal rows are packed as often as they
@@ -34,9 +35,9 @@ CHUNKS = 1024
 CACHED_WORDS = 1_000_000
 #: Signs that end a word; none of them begins a contraction or a special token's last part.
 SIGNS = ".,;:!?#$%&*()"
-#: Fillings that the search looks at in all, and per step.
+#: Fillings that the search chooses in all, and steps that their enumeration takes in all.
 NODES = 4_000
-BRANCHES = 3
+STEPS = 2_000_000
 
 Filling = tuple[int, ...]
 
@@ -156,40 +157,162 @@ def _best_fit(left: np.ndarray, room: int) -> Filling:
     return tuple(out)
 
 
-def _pairs(left: np.ndarray, room: int, most: int) -> list[Filling]:
-    """Pairs of lengths that fill the room best, the larger first."""
-    sizes = np.flatnonzero(left[: room + 1])
-    if not len(sizes):
-        return []
-    partner = np.searchsorted(sizes, room - sizes, side="right") - 1
-    ok = partner >= 0
-    first, second = sizes[ok], sizes[partner[ok]]
-    ok = (second <= first) & ((first != second) | (left[first] > 1))
-    first, second = first[ok], second[ok]
-    best = np.lexsort((-first, room - first - second))[:most]
-    return [(int(first[i]), int(second[i])) for i in best]
+class Budget:
+    """Steps of enumeration that a search may still take."""
 
+    def __init__(self, steps: int) -> None:
+        self.steps = steps
 
-def fillings(left: np.ndarray, room: int, most: int = BRANCHES) -> list[Filling]:
-    """Fillings of ``room`` that no other one listed dominates, least waste first.
 
-    A filling is dominated if its items fit into those of another.  One item that fills the room
-    dominates everything; otherwise pairs, a third item before the best pair, and the best-fit
-    filling are compared by waste, then by the number of items.
+def _bits(sizes: np.ndarray) -> int:
+    out = np.zeros(int(sizes[-1]) + 1 if len(sizes) else 1, np.uint8)
+    out[sizes] = 1
+    return int.from_bytes(np.packbits(out, bitorder="little").tobytes(), "little")
+
+
+def _spread(sums: int, by: int) -> int:
+    """Bits of all sums + 0 to ``by``."""
+    done = 0
+    while done < by:
+        more = min(done + 1, by - done)
+        sums |= sums << more
+        done += more
+    return sums
+
+
+class _Room:
+    """The lengths that may stand in a room, and which fillings of it others dominate.
+
+    Another filling dominates one if the items of the one fit, in groups, into items of the other.  That is
+    so exactly if some length that is left over can take the place of some of the items (none, one
+    that is shorter, or several) without going over the room.
+    """
+
+    def __init__(self, left: np.ndarray, room: int) -> None:
+        self.room = room
+        self.sizes = [int(s) for s in np.flatnonzero(left[: room + 1])[::-1]]
+        self.number = {s: int(left[s]) for s in self.sizes}
+        self.bits = _bits(np.array(self.sizes[::-1], dtype=np.int64))
+        self.reach: list[int] | None = None
+
+    def unused(self, filling: Filling) -> int:
+        out = self.bits
+        for s in set(filling):
+            if filling.count(s) >= self.number[s]:
+                out &= ~(1 << s)
+        return out
+
+    @staticmethod
+    def sums(one: int, many: int, size: int) -> tuple[int, int]:
+        """Sums of one item, and of several, with one more item."""
+        return one | 1 << size, many | (one | many) << size
+
+    def replaceable(self, filling: Filling, one: int, many: int, waste: int) -> bool:
+        """Whether a longer item can take the place of one or more; more and shorter items leave that as it is."""
+        longer = _spread(many, waste) | (_spread(one << 1, waste - 1) if waste else 0)
+        return bool(longer & self.unused(filling))
+
+    def dominated(self, filling: Filling, waste: int) -> bool:
+        one = many = 0
+        for s in filling:
+            one, many = self.sums(one, many, s)
+        addable = self.unused(filling) & ((1 << (waste + 1)) - 1)
+        return bool(addable) or self.replaceable(filling, one, many, waste)
+
+    def short(self, target: int) -> Iterator[Filling]:
+        """One item or two that sum to ``target``, the longer first."""
+        if target in self.number:
+            yield (target,)
+        for s in self.sizes:
+            if 2 * s < target:
+                break
+            other = target - s
+            if other in self.number and (other != s or self.number[s] > 1):
+                yield (s, other)
+
+    def reachable(self, budget: Budget) -> list[int]:
+        """Sums of the lengths from each one on downwards."""
+        if self.reach is None:
+            full = (1 << (self.room + 1)) - 1
+            reach = [1]
+            for s in reversed(self.sizes):
+                sums, n, k = reach[-1], min(self.number[s], self.room // s), 1
+                while n > 0:
+                    k = min(k, n)
+                    sums |= sums << k * s & full
+                    n, k = n - k, 2 * k
+                reach.append(sums)
+            budget.steps -= len(reach)
+            self.reach = reach[::-1]
+        return self.reach
+
+    def long(self, target: int, waste: int, budget: Budget) -> Iterator[Filling]:
+        """Fillings that sum to ``target`` and may be undominated, in descending order.
+
+        All items of ``waste`` and less are in: one left out could be added.
+        """
+        reach = self.reachable(budget)
+        stop = sum(s > waste for s in self.sizes)
+        tail = tuple(s for s in self.sizes[stop:] for _ in range(self.number[s])) if stop < len(self.sizes) else ()
+
+        def grow(at: int, rest: int, chosen: Filling, one: int, many: int) -> Iterator[Filling]:
+            if rest == 0:
+                yield chosen + tail
+                return
+            for j in range(at, stop):
+                if budget.steps <= 0 or not reach[j] >> rest & 1:
+                    return
+                s = self.sizes[j]
+                for k in range(min(self.number[s], rest // s), 0, -1):
+                    if not reach[j + 1] >> (rest - k * s) & 1:
+                        continue
+                    budget.steps -= 1
+                    more, now = chosen + (s,) * k, (one, many)
+                    for _ in range(k):
+                        now = self.sums(*now, s)
+                    if not self.replaceable(more, *now, waste):
+                        yield from grow(j + 1, rest - k * s, more, *now)
+
+        # A sum of the tail's items is known to be reachable; the rest must be reached without them.
+        yield from grow(0, target - sum(tail), (), 0, 0)
+
+
+def _order(filling: Filling, room: int) -> tuple:
+    """The order in which ``fillings`` lists: least waste, one or two items first, then the longest."""
+    return room - sum(filling), len(filling) > 2, [-s for s in filling]
+
+
+def fillings(left: np.ndarray, room: int, most_waste: int, budget: Budget) -> Iterator[Filling]:
+    """All undominated fillings of ``room`` that waste ``most_waste`` at most, least waste first.
+
+    One item that fills the room dominates everything.  The enumeration is lazy and stops early only
+    where ``budget`` is used up.
     """
     if room <= 0:
-        return [()]
+        yield ()
+        return
     if left[room]:
-        return [(room,)]
-    found = {_best_fit(left, room)} | set(_pairs(left, room, most))
-    if not any(sum(f) == room for f in found):
-        sizes = np.flatnonzero(left[: room + 1])
-        for size in itertools.islice(map(int, sizes[::-1]), 16):
-            left[size] -= 1
-            found |= {tuple(sorted((size, *p), reverse=True)) for p in _pairs(left, room - size, 1)}
-            left[size] += 1
-    ranked = sorted(found, key=lambda f: (room - sum(f), len(f), [-s for s in f]))
-    return [f for f in ranked if f][:most] or [()]
+        yield (room,)
+        return
+    state = _Room(left, room)
+    if not state.sizes:
+        if room <= most_waste:
+            yield ()
+        return
+    small = np.cumsum(left[: room + 1] * np.arange(room + 1))
+    for waste in range(min(room, most_waste) + 1):
+        target = room - waste
+        # What is as short as the waste has to be in.
+        if small[waste] > target or budget.steps <= 0:
+            return
+        if waste and not state.reachable(budget)[0] >> target & 1:
+            continue
+        for filling in state.short(target):
+            if not state.dominated(filling, waste):
+                yield filling
+        for filling in state.long(target, waste, budget):
+            if len(filling) > 2 and not state.dominated(filling, waste):
+                yield filling
 
 
 def fewest(left: np.ndarray, capacity: int) -> int:
@@ -209,8 +332,16 @@ def fewest(left: np.ndarray, capacity: int) -> int:
     return int((alone + large + np.maximum(0, -(-(need - free) // capacity))).max())
 
 
-def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[Filling, int]]:
-    """(lengths in one sequence, number of such sequences), as few sequences as the search finds."""
+def complete_bins(
+    counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, steps: int = STEPS
+) -> list[tuple[Filling, int]]:
+    """(lengths in one sequence, number of such sequences), as few sequences as the search finds.
+
+    Sequences with the same largest length are filled in the order in which ``fillings`` lists, each
+    filling as often as the counts and the waste allow and then less often, so every packing of undominated
+    fillings comes up once.  The search ends early only after ``nodes`` choices of a filling (the first way
+    down goes on) or ``steps`` of enumeration.
+    """
     left = np.zeros(capacity + 1, dtype=np.int64)
     for size, n in counts.items():
         left[size] = n
@@ -224,83 +355,73 @@ def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, nodes: int =
         for s in filling:
             left[s] -= n
 
-    def step(fill: Filling | None, largest: int) -> tuple[Filling, int]:
-        filling = (largest, *(fill or ()))
-        return filling, times(filling)
-
-    def options(largest: int) -> list[Filling]:
-        left[largest] -= 1
-        found = fillings(left, capacity - largest)
-        left[largest] += 1
-        return found
-
     def bins(path: list[tuple[Filling, int]]) -> int:
         return sum(n for _, n in path)
 
-    best: list[tuple[Filling, int]] | None = None
-    path: list[tuple[Filling, int]] = []
-    open_options: list[list[Filling]] = []
-    waste, seen, dive = 0, 0, True
-
-    def back() -> bool:
-        nonlocal waste
-        while path:
-            filling, n = path.pop()
-            use(filling, -n)
-            waste -= n * (capacity - sum(filling))
-            if open_options[-1]:
-                return True
-            open_options.pop()
-        return False
-
     # The incumbent: best fit all the way down.
+    path: list[tuple[Filling, int]] = []
     while left.any():
         largest = int(np.flatnonzero(left)[-1])
         left[largest] -= 1
-        fill = _best_fit(left, capacity - largest)
+        filling = (largest, *_best_fit(left, capacity - largest))
         left[largest] += 1
-        filling, n = step(fill, largest)
+        n = times(filling)
         use(filling, n)
         path.append((filling, n))
-    best = path[:]
+    best, fewest_found = path, bins(path)
     for filling, n in path:
         use(filling, -n)
-    path = []
-    resumed = False
-    while bins(best) > least:
-        # Beating the best means this much waste at most; the last sequence may be part empty.
-        allowed = (bins(best) - 1) * capacity - total
-        if not left.any():
-            best, dive = path[:], False
-            if bins(best) <= least or not back():
-                break
-            resumed = True
-            continue
-        if seen >= nodes and not dive:
-            break
-        if not resumed:
-            open_options.append(options(int(np.flatnonzero(left)[-1])))
-        resumed = False
-        seen += 1
+    path, waste, seen, dive, budget = [], 0, 0, True, Budget(steps)
+
+    def spare() -> int:
+        """Waste that is left; beating the best means this much at most, the last sequence may be part empty."""
+        return (fewest_found - 1) * capacity - total - waste
+
+    def options(before: Filling | None) -> Iterator[tuple[Filling, int]]:
         largest = int(np.flatnonzero(left)[-1])
-        filling, n = step(open_options[-1].pop(0), largest)
-        lost = n * (capacity - sum(filling))
-        if waste + lost > allowed:
-            if n > 1 and waste + (capacity - sum(filling)) <= allowed and capacity > sum(filling):
-                n = max(1, (allowed - waste) // (capacity - sum(filling)))
-                lost = n * (capacity - sum(filling))
-            elif open_options[-1]:
-                resumed = True
+        room = capacity - largest
+        beside = left.copy()
+        beside[largest] -= 1
+        after = _order(before[1:], room) if before and before[0] == largest else None
+        for fill in fillings(beside, room, spare(), budget):
+            if after is not None and _order(fill, room) <= after:
                 continue
-            else:
+            filling = (largest, *fill)
+            lost, n = capacity - sum(filling), times(filling)
+            if lost:
+                n = min(n, spare() // lost)
+            if n < 1:
+                return
+            yield filling, n
+            if len(fill) == 1 and fill[0] == room or not room:
+                return  # it dominates all others, and itself less often
+            for fewer in range(n - 1, 0, -1):
+                yield filling, fewer
+
+    open_options: list[Iterator[tuple[Filling, int]]] = []
+    down = True
+    while fewest_found > least and budget.steps > 0 and (dive or seen < nodes):
+        if down and not left.any():
+            best, fewest_found = path[:], bins(path)
+        elif down:
+            open_options.append(options(path[-1][0] if path else None))
+        option = next(open_options[-1], None) if left.any() else None
+        if option is None:
+            if left.any():
                 open_options.pop()
-                if seen >= nodes or not back():
-                    break
-                resumed = True
-                continue
+            if not path:
+                break
+            filling, n = path.pop()
+            use(filling, -n)
+            waste -= n * (capacity - sum(filling))
+            down = dive = False
+            continue
+        filling, n = option
+        seen += 1
         use(filling, n)
-        waste += lost
+        waste += n * (capacity - sum(filling))
         path.append((filling, n))
+        down = True
     return best
 
 
