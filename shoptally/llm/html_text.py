@@ -2,7 +2,8 @@
 
 A page is read once into blocks of text, each with the containers that it stands in.  Blocks inside
 menus, headers, footers, side bars, notices, adverts, forms, comments, scripts and the like are no
-content.  Every container is scored by its content, its depth and its kind, and the best one gives
+content.  What a tag says holds; what only a name of class, id or role says is weighed once the page is
+read (``_rescued``), so that a wrapper named after a part of the page does not take the article with it.  Every container is scored by its content, its depth and its kind, and the best one gives
 the page's vote: its path of tags and classes, with numbers taken out.  Spark counts the votes of
 each host; the pages are then read again with the winning path of their host.  A page on which
 that path has no content falls back on its own best container.
@@ -68,24 +69,64 @@ class Page(NamedTuple):
     containers: list[Element]
 
 
-def _names(attributes: str) -> tuple[list[str], list[str]]:
-    """Words of class, and of class, id and role together."""
-    classes, every = [], []
+def _names(attributes: str) -> tuple[list[str], list[str], list[str]]:
+    """Words of class; words of class, id and role and what they begin with; their other parts."""
+    classes, every, others = [], [], []
     if "=" in attributes:
         for kind, *values in NAMED.findall(attributes):
             words = "".join(values).lower().split()
             if kind.lower() == "class":
                 classes += words
-            every += [part for w in words for part in (w, *re.split(r"[-_]", w))]
-    return classes, every
+            for w in words:
+                first, *parts = re.split(r"[-_]", w)
+                every += [w, first]
+                others += parts
+    return classes, every, others
+
+
+def _rescued(
+    blocks: list[tuple[str, int, tuple[int, ...], tuple[int, ...]]],
+    containers: list[Element],
+    inside: list[tuple[int, ...]],
+    by_part: list[bool],
+) -> set[int]:
+    """Which elements that a name marks as no content are content all the same.
+
+    Those around the article or main with the most unlinked text are, if they are marked only by a later part of a
+    name (with-sidebar) or no other article or main has text; and, marked by a later part, those with most
+    of the page's unlinked text.  If nothing else is left, the names do not count.
+    """
+    own = [0] * len(containers)
+    for text, linked, around, marks in blocks:
+        for number in around:
+            if inside[number] == marks:
+                own[number] += max(0, len(text) - linked)
+    mains = [n for n, e in enumerate(containers) if e.tag in MAIN and own[n]]
+    out: set[int] = set()
+    if mains:
+        best = max(mains, key=lambda n: (own[n], -n))
+        if all(by_part[k] for k in inside[best]) or all(inside[n] for n in mains):
+            out |= set(inside[best])
+    total, of = 0, dict.fromkeys((k for k, part in enumerate(by_part) if part), 0)
+    for text, linked, _, marks in blocks:
+        if all(by_part[k] or k in out for k in marks):
+            total += max(0, len(text) - linked)
+            for k in marks:
+                if k in of:
+                    of[k] += max(0, len(text) - linked)
+    out |= {k for k, worth in of.items() if 2 * worth > total}
+    return out if any(out.issuperset(marks) for *_, marks in blocks) else set(range(len(by_part)))
 
 
 def read(html: str) -> Page:
     """Blocks of content and the containers of a page."""
-    blocks: list[tuple[str, int, tuple[int, ...]]] = []
+    blocks: list[tuple[str, int, tuple[int, ...], tuple[int, ...]]] = []  # as in Page, and the marked elements around
     containers: list[Element] = []
-    open_elements: list[tuple[Element, int]] = []  # with the number of the container, or -1
+    inside: list[tuple[int, ...]] = []  # marked elements around each container
+    by_part: list[bool] = []  # of each marked element, whether only a later part of a name marks it
+    open_elements: list[tuple[Element, int, bool]] = []  # with the number of the container or -1, and whether marked
     around: tuple[int, ...] = ()
+    marks: tuple[int, ...] = ()
     hidden, links = 0, 0
     text: list[str] = []
     linked = 0
@@ -95,15 +136,17 @@ def read(html: str) -> Page:
         if text:
             words = " ".join(unescape("".join(text)).split())
             if words:
-                blocks.append((words, linked, around))
+                blocks.append((words, linked, around, marks))
             text.clear()
         linked = 0
 
     def close(to: int) -> None:
-        nonlocal around, hidden
+        nonlocal around, hidden, marks
         while len(open_elements) > to:
-            element, number = open_elements.pop()
+            element, number, marked = open_elements.pop()
             hidden -= not element.content
+            if marked:
+                marks = marks[:-1]
             if number >= 0:
                 around = around[:-1]
 
@@ -141,14 +184,16 @@ def read(html: str) -> Page:
             if tag not in INLINE:
                 flush()
             continue
-        classes, names = _names(m[3])
-        bad = tag in NOT_CONTENT or not NOT_CONTENT_NAMES.isdisjoint(names)
+        classes, names, others = _names(m[3])
+        bad = tag in NOT_CONTENT
+        named = not NOT_CONTENT_NAMES.isdisjoint(names)
+        marked = not bad and (named or not NOT_CONTENT_NAMES.isdisjoint(others))
         if tag == "header":
-            bad = not any(e.tag in MAIN for e, _ in open_elements)
+            bad, marked = not any(e.tag in MAIN for e, _, _ in open_elements), False
         if tag in ("html", "body") or tag in MAIN:
-            bad = False
+            bad = marked = False
         if tag in INLINE:
-            if not bad:
+            if not bad and not marked:
                 continue
         flush()
         if tag not in INLINE:
@@ -166,10 +211,16 @@ def read(html: str) -> Page:
             number = len(containers)
             containers.append(element)
             around = (*around, number)
-        open_elements.append((element, number))
+        if marked:
+            marks = (*marks, len(by_part))
+            by_part.append(not named)
+        if number >= 0:
+            inside.append(marks)
+        open_elements.append((element, number, marked))
         hidden += not element.content
     flush()
-    return Page(blocks, containers)
+    shown = _rescued(blocks, containers, inside, by_part) if by_part else set()
+    return Page([(text, n, c) for text, n, c, marked in blocks if shown.issuperset(marked)], containers)
 
 
 def best_path(page: Page) -> tuple[str, int] | None:
