@@ -437,6 +437,14 @@ def forecast_model_specs(r: Retail) -> DataFrame:
     )
 
 
+@_query
+def forecast_model_weights(r: Retail) -> DataFrame:
+    """All weights of each series' regression, whichever model wins."""
+    models = forecast.fit_linear_models(_split(r))
+    weights = [half_up(F.col("coefficients")[i], 3).alias(f"{f}_weight") for i, f in enumerate(forecast.FEATURES)]
+    return models.select("series_id", half_up(F.col("intercept"), 3).alias("intercept"), *weights)
+
+
 # --- dashboard ------------------------------------------------------------------------------------------
 
 
