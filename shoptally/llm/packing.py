@@ -17,11 +17,15 @@ from __future__ import annotations
 
 import itertools
 import os
+import sys
+import unicodedata
 import zlib
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +42,8 @@ SIGNS = ".,;:!?#$%&*()"
 #: Fillings that the search chooses in all, and steps that their enumeration takes in all.
 NODES = 4_000
 STEPS = 2_000_000
+#: Bytes that the tables of the enumeration may take.
+TABLE_BYTES = 64 << 20
 
 Filling = tuple[int, ...]
 
@@ -57,7 +63,8 @@ class WordIds:
     """Token ids of texts, as little-endian 32-bit bytes.
 
     The tokenizer drops white space and never joins across it, so a text is the sequence of its
-    space-separated words; the ids of words seen before are remembered.
+    space-separated words.  Arrow takes a batch apart and numbers its distinct words; the ids of words seen
+    before are remembered.
     """
 
     def __init__(self, path: str) -> None:
@@ -67,38 +74,65 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.known = _WORDS.setdefault(path, {})
 
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
+    def __call__(self, texts: pa.Array | list[str]) -> Iterator[bytes]:
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        if not len(texts):
+            return
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        rows = split.offsets.to_numpy() - split.offsets[0].as_py()
+        words = split.flatten().dictionary_encode()
+        ids, starts = self._ids(words.dictionary.to_pylist())
+        number = words.indices.to_numpy()
+        # Where the ids of each word go: the words' lengths, summed up.
+        length = np.diff(starts)[number]
+        ends = np.cumsum(length)
+        at = np.repeat(starts[:-1][number] - (ends - length), length)
+        at += np.arange(len(at))
+        out = ids[at]
+        bounds = np.append(0, ends)[rows]
+        for a, b in itertools.pairwise(bounds.tolist()):
+            yield out[a:b].tobytes()
+
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in one array, and where each word's begin."""
         known = self.known
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        missing = {w for words in split for w in words if w not in known}
+        missing = [w for w in words if w not in known]
         if missing:
             if len(known) + 2 * len(missing) > CACHED_WORDS:
                 known.clear()
-                missing = {w for words in split for w in words}
+                missing = words
             self._learn(missing)
-        for words in split:
-            yield b"".join(map(known.__getitem__, words))
+        found = [known[w] for w in words]
+        starts = np.cumsum([0, *map(len, found)]) // 4
+        return np.frombuffer(b"".join(found), "<u4"), starts
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         """Remember words; the tokenizer sees one lower-case form of each without its last signs.
 
         It lowers case itself and splits letters and digits from ASCII signs, so that the ids of a
         word are those of its parts.
         """
         known = self.known
-        parts = {}
+        cores = []
         for word in words:
-            plain = word.lower() if word.isascii() else word
+            plain = word.lower() if word.isascii() and "|" not in word else word
             core = plain.rstrip(SIGNS)
-            if core and not core[-1].isalnum():
-                core = plain
-            parts[word] = (core, plain[len(core) :])
-        new = [p for p in {p for pair in parts.values() for p in pair} if p not in known]
+            cores.append(core if core == plain or not core or ends_word(core) else plain)
+        signs = [word[len(core) :] for word, core in zip(words, cores, strict=True)]
+        new = [p for p in {*cores, *signs} if p not in known]
         if new:
             encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
             known.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(new, encoded, strict=True))
-        for word, (core, signs) in parts.items():
-            known[word] = known[core] + known[signs]
+        known.update((w, known[c] + known[s]) for w, c, s in zip(words, cores, signs, strict=True))
+
+
+def ends_word(core: str) -> bool:
+    """Whether the tokenizer, once it has normalised ``core``, ends a part of the text there before any sign.
+
+    A last letter that becomes a letter and a mark does not: the mark and the signs after it are one part.
+    """
+    last = core[-1]
+    return last.isalnum() and (last.isascii() or unicodedata.normalize("NFC", last).lower()[-1].isalnum())
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
@@ -111,8 +145,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
         ids_of = WordIds(path)
         for batch in slices(batches, "text"):
             of, number, start, length, crc, ids = [], [], [], [], [], []
-            texts = batch.column("text").fill_null("").to_pylist()
-            for row, encoded in enumerate(ids_of(texts)):
+            for row, encoded in enumerate(ids_of(batch.column("text").fill_null(""))):
                 encoded += end
                 for k, at in enumerate(range(0, len(encoded), 4 * capacity)):
                     part = encoded[at : at + 4 * capacity]
@@ -158,10 +191,28 @@ def _best_fit(left: np.ndarray, room: int) -> Filling:
 
 
 class Budget:
-    """Steps of enumeration that a search may still take."""
+    """Steps of enumeration that a search may still take, and the rooms whose tables are in memory.
+
+    Tables of all rooms take ``TABLE_BYTES`` at most, or one room more.  The room used least lately loses its
+    tables first and makes them anew when the search comes back to it; that is not counted as a step.
+    """
 
     def __init__(self, steps: int) -> None:
         self.steps = steps
+        self.tables: OrderedDict[_Room, int] = OrderedDict()
+        self.bytes = 0
+
+    def used(self, room: _Room, size: int) -> None:
+        self.bytes += size - self.tables.pop(room, 0)
+        self.tables[room] = size
+        while self.bytes > TABLE_BYTES and len(self.tables) > 1:
+            oldest, held = self.tables.popitem(last=False)
+            oldest.clear()
+            self.bytes -= held
+
+    def done(self, room: _Room) -> None:
+        self.bytes -= self.tables.pop(room, 0)
+        room.clear()
 
 
 def _bits(sizes: np.ndarray) -> int:
@@ -186,17 +237,35 @@ class _Room:
     Another filling dominates one if the items of the one fit, in groups, into items of the other.  That is
     so exactly if some length that is left over can take the place of some of the items (none, one
     that is shorter, or several) without going over the room.
+
+    Its tables follow from ``left``, which must be the same whenever the room is used; they may go in between.
     """
 
-    def __init__(self, left: np.ndarray, room: int) -> None:
-        self.room = room
-        self.sizes = [int(s) for s in np.flatnonzero(left[: room + 1])[::-1]]
-        self.number = {s: int(left[s]) for s in self.sizes}
-        self.bits = _bits(np.array(self.sizes[::-1], dtype=np.int64))
+    def __init__(self, left: np.ndarray, room: int, taken: int, budget: Budget) -> None:
+        self.left, self.room, self.taken, self.budget = left, room, taken, budget
+        self.counted = False
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: list[int] | None = None
+        self.sizes: list[int] = []
+        self.bits = 0
         self.reach: list[int] | None = None
 
+    def load(self) -> _Room:
+        """This room with the number of items of each length, and the lengths in descending order."""
+        if self.number is None:
+            number = self.left[: self.room + 1].copy()
+            if self.taken <= self.room:
+                number[self.taken] -= 1
+            sizes = np.flatnonzero(number)
+            self.bits = _bits(sizes)
+            self.sizes, self.number = sizes[::-1].tolist(), number.tolist()
+            self.budget.used(self, 16 * self.room + 48 * len(self.sizes) + 256)
+        return self
+
     def unused(self, filling: Filling) -> int:
-        out = self.bits
+        out = self.load().bits
         for s in set(filling):
             if filling.count(s) >= self.number[s]:
                 out &= ~(1 << s)
@@ -221,18 +290,16 @@ class _Room:
 
     def short(self, target: int) -> Iterator[Filling]:
         """One item or two that sum to ``target``, the longer first."""
-        if target in self.number:
+        if self.load().number[target]:
             yield (target,)
-        for s in self.sizes:
-            if 2 * s < target:
-                break
-            other = target - s
-            if other in self.number and (other != s or self.number[s] > 1):
-                yield (s, other)
+        for s in range(target - 1, (target - 1) // 2, -1):
+            number = self.load().number
+            if number[s] and number[target - s] > (2 * s == target):
+                yield (s, target - s)
 
-    def reachable(self, budget: Budget) -> list[int]:
+    def reachable(self) -> list[int]:
         """Sums of the lengths from each one on downwards."""
-        if self.reach is None:
+        if self.load().reach is None:
             full = (1 << (self.room + 1)) - 1
             reach = [1]
             for s in reversed(self.sizes):
@@ -242,29 +309,33 @@ class _Room:
                     sums |= sums << k * s & full
                     n, k = n - k, 2 * k
                 reach.append(sums)
-            budget.steps -= len(reach)
+            if not self.counted:
+                self.budget.steps -= len(reach)
+                self.counted = True
             self.reach = reach[::-1]
+            self.budget.used(self, self.budget.tables[self] + sum(map(sys.getsizeof, reach)) + 8 * len(reach))
         return self.reach
 
-    def long(self, target: int, waste: int, budget: Budget) -> Iterator[Filling]:
+    def long(self, target: int, waste: int) -> Iterator[Filling]:
         """Fillings that sum to ``target`` and may be undominated, in descending order.
 
         All items of ``waste`` and less are in: one left out could be added.
         """
-        reach = self.reachable(budget)
-        stop = sum(s > waste for s in self.sizes)
-        tail = tuple(s for s in self.sizes[stop:] for _ in range(self.number[s])) if stop < len(self.sizes) else ()
+        budget, sizes = self.budget, self.load().sizes
+        stop = sum(s > waste for s in sizes)
+        tail = tuple(s for s in sizes[stop:] for _ in range(self.number[s]))
+        del sizes
 
         def grow(at: int, rest: int, chosen: Filling, one: int, many: int) -> Iterator[Filling]:
             if rest == 0:
                 yield chosen + tail
                 return
             for j in range(at, stop):
-                if budget.steps <= 0 or not reach[j] >> rest & 1:
+                if budget.steps <= 0 or not self.reachable()[j] >> rest & 1:
                     return
                 s = self.sizes[j]
                 for k in range(min(self.number[s], rest // s), 0, -1):
-                    if not reach[j + 1] >> (rest - k * s) & 1:
+                    if not self.reachable()[j + 1] >> (rest - k * s) & 1:
                         continue
                     budget.steps -= 1
                     more, now = chosen + (s,) * k, (one, many)
@@ -282,37 +353,42 @@ def _order(filling: Filling, room: int) -> tuple:
     return room - sum(filling), len(filling) > 2, [-s for s in filling]
 
 
-def fillings(left: np.ndarray, room: int, most_waste: int, budget: Budget) -> Iterator[Filling]:
+def fillings(left: np.ndarray, room: int, most_waste: int, budget: Budget, taken: int | None = None) -> Iterator[Filling]:
     """All undominated fillings of ``room`` that waste ``most_waste`` at most, least waste first.
 
-    One item that fills the room dominates everything.  The enumeration is lazy and stops early only
-    where ``budget`` is used up.
+    ``left`` counts the items of each length, one of length ``taken`` being gone already; it must be the same
+    again whenever the next filling is asked for.  One item that fills the room dominates everything.
+    The enumeration is lazy and stops early only where ``budget`` is used up.
     """
     if room <= 0:
         yield ()
         return
-    if left[room]:
+    if left[room] > (taken == room):
         yield (room,)
         return
-    state = _Room(left, room)
-    if not state.sizes:
-        if room <= most_waste:
-            yield ()
-        return
-    small = np.cumsum(left[: room + 1] * np.arange(room + 1))
-    for waste in range(min(room, most_waste) + 1):
-        target = room - waste
-        # What is as short as the waste has to be in.
-        if small[waste] > target or budget.steps <= 0:
+    state = _Room(left, room, room + 1 if taken is None else taken, budget)
+    try:
+        if not state.load().sizes:
+            if room <= most_waste:
+                yield ()
             return
-        if waste and not state.reachable(budget)[0] >> target & 1:
-            continue
-        for filling in state.short(target):
-            if not state.dominated(filling, waste):
-                yield filling
-        for filling in state.long(target, waste, budget):
-            if len(filling) > 2 and not state.dominated(filling, waste):
-                yield filling
+        small = 0
+        for waste in range(min(room, most_waste) + 1):
+            target = room - waste
+            # What is as short as the waste has to be in.
+            small += waste * state.load().number[waste]
+            if small > target or budget.steps <= 0:
+                return
+            if waste and not state.reachable()[0] >> target & 1:
+                continue
+            for filling in state.short(target):
+                if not state.dominated(filling, waste):
+                    yield filling
+            for filling in state.long(target, waste):
+                if len(filling) > 2 and not state.dominated(filling, waste):
+                    yield filling
+    finally:
+        budget.done(state)
 
 
 def fewest(left: np.ndarray, capacity: int) -> int:
@@ -380,10 +456,8 @@ def complete_bins(
     def options(before: Filling | None) -> Iterator[tuple[Filling, int]]:
         largest = int(np.flatnonzero(left)[-1])
         room = capacity - largest
-        beside = left.copy()
-        beside[largest] -= 1
         after = _order(before[1:], room) if before and before[0] == largest else None
-        for fill in fillings(beside, room, spare(), budget):
+        for fill in fillings(left, room, spare(), budget, largest):
             if after is not None and _order(fill, room) <= after:
                 continue
             filling = (largest, *fill)
