@@ -35,8 +35,9 @@ from shoptally.llm.words import slices
 CAPACITY = 4096
 END_ID = 1
 CHUNKS = 1024
-#: Words whose ids a worker remembers.
-CACHED_WORDS = 1_000_000
+#: Parts of words whose ids a worker remembers, and bytes of text that it takes apart at once.
+CACHED_PARTS = 1_000_000
+TEXT_BYTES = 8 << 20
 #: Signs that end a word; none of them begins a contraction or a special token's last part.
 SIGNS = ".,;:!?#$%&*()"
 #: Fillings that the search chooses in all, and steps that their enumeration takes in all.
@@ -56,15 +57,15 @@ def default_tokenizer() -> str:
 
 # --- tokens ---------------------------------------------------------------------------------------
 
-_WORDS: dict[str, dict[str, bytes]] = {}
+_PARTS: dict[str, dict[str, bytes]] = {}
 
 
 class WordIds:
     """Token ids of texts, as little-endian 32-bit bytes.
 
     The tokenizer drops white space and never joins across it, so a text is the sequence of its
-    space-separated words.  Arrow takes a batch apart and numbers its distinct words; the ids of words seen
-    before are remembered.
+    space-separated words.  Arrow takes a batch apart, numbers its distinct words and takes last signs off
+    them; the ids of parts seen before are remembered.
     """
 
     def __init__(self, path: str) -> None:
@@ -72,58 +73,59 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known = _WORDS.setdefault(path, {})
+        self.known = _PARTS.setdefault(path, {})
 
     def __call__(self, texts: pa.Array | list[str]) -> Iterator[bytes]:
         texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
         if not len(texts):
             return
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
-        rows = split.offsets.to_numpy() - split.offsets[0].as_py()
+        rows = 2 * (split.offsets.to_numpy() - split.offsets[0].as_py())
         words = split.flatten().dictionary_encode()
-        ids, starts = self._ids(words.dictionary.to_pylist())
-        number = words.indices.to_numpy()
-        # Where the ids of each word go: the words' lengths, summed up.
-        length = np.diff(starts)[number]
+        cores, signs = (part.dictionary_encode() for part in taken_apart(words.dictionary))
+        ids, starts = self._ids(cores.dictionary.to_pylist() + signs.dictionary.to_pylist())
+        # Every word is a core and signs; where the ids of each part go follows from their lengths, summed up.
+        word = words.indices.to_numpy()
+        part = np.empty(2 * len(word), np.int64)
+        part[0::2] = cores.indices.to_numpy()[word]
+        part[1::2] = signs.indices.to_numpy()[word] + len(cores.dictionary)
+        length = np.diff(starts)[part]
         ends = np.cumsum(length)
-        at = np.repeat(starts[:-1][number] - (ends - length), length)
+        at = np.repeat(starts[:-1][part] - (ends - length), length)
         at += np.arange(len(at))
         out = ids[at]
-        bounds = np.append(0, ends)[rows]
-        for a, b in itertools.pairwise(bounds.tolist()):
+        for a, b in itertools.pairwise(np.append(0, ends)[rows].tolist()):
             yield out[a:b].tobytes()
 
-    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words in one array, and where each word's begin."""
+    def _ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all parts in one array, and where each part's begin."""
         known = self.known
-        missing = [w for w in words if w not in known]
+        missing = [p for p in parts if p not in known]
         if missing:
-            if len(known) + 2 * len(missing) > CACHED_WORDS:
+            if len(known) + len(missing) > CACHED_PARTS:
                 known.clear()
-                missing = words
-            self._learn(missing)
-        found = [known[w] for w in words]
+                missing = parts
+            encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
+            known.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(missing, encoded, strict=True))
+        found = [known[p] for p in parts]
         starts = np.cumsum([0, *map(len, found)]) // 4
         return np.frombuffer(b"".join(found), "<u4"), starts
 
-    def _learn(self, words: list[str]) -> None:
-        """Remember words; the tokenizer sees one lower-case form of each without its last signs.
 
-        It lowers case itself and splits letters and digits from ASCII signs, so that the ids of a
-        word are those of its parts.
-        """
-        known = self.known
-        cores = []
-        for word in words:
-            plain = word.lower() if word.isascii() and "|" not in word else word
-            core = plain.rstrip(SIGNS)
-            cores.append(core if core == plain or not core or ends_word(core) else plain)
-        signs = [word[len(core) :] for word, core in zip(words, cores, strict=True)]
-        new = [p for p in {*cores, *signs} if p not in known]
-        if new:
-            encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            known.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(new, encoded, strict=True))
-        known.update((w, known[c] + known[s]) for w, c, s in zip(words, cores, signs, strict=True))
+def taken_apart(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Words as cores and the signs after them, in the lower case of ASCII, so that the ids are those of the two parts.
+
+    The tokenizer lowers case itself and splits letters and digits from ASCII signs.
+    """
+    plain = pc.and_(pc.string_is_ascii(words), pc.invert(pc.match_substring(words, "|")))
+    words = pc.if_else(plain, pc.ascii_lower(words), words)
+    cores = pc.utf8_rtrim(words, characters=SIGNS)
+    apart = pc.match_substring_regex(cores, "[0-9A-Za-z]$").to_numpy(zero_copy_only=False).copy()
+    other = np.flatnonzero(pc.not_equal(cores, words).to_numpy(zero_copy_only=False) & ~apart)
+    apart[other] = [not core or ends_word(core) for core in cores.take(pa.array(other)).to_pylist()]
+    mask = pa.array(apart)
+    signs = pc.struct_field(pc.extract_regex(words, f"(?P<signs>[{SIGNS}]*)$"), "signs")
+    return pc.if_else(mask, cores, words), pc.if_else(mask, signs, "")
 
 
 def ends_word(core: str) -> bool:
@@ -132,7 +134,7 @@ def ends_word(core: str) -> bool:
     A last letter that becomes a letter and a mark does not: the mark and the signs after it are one part.
     """
     last = core[-1]
-    return last.isalnum() and (last.isascii() or unicodedata.normalize("NFC", last).lower()[-1].isalnum())
+    return last.isalnum() and unicodedata.normalize("NFC", last).lower()[-1].isalnum()
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
@@ -143,7 +145,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = WordIds(path)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT_BYTES):
             of, number, start, length, crc, ids = [], [], [], [], [], []
             for row, encoded in enumerate(ids_of(batch.column("text").fill_null(""))):
                 encoded += end
