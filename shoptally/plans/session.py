@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Valid for any cluster size: AQE sizes partitions, splits skewed ones and turns a join into a
-# broadcast only after measuring the side.  Nothing in the library hints a broadcast.
+# broadcast only after measuring the side.  The one broadcast that the library hints has a row per sort range.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
