@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoptally.llm import fingerprints, html_text, mixing, near_dups, packing, quality_rules, secrets, suffix_dedup, token_counts, toxicity
+from shoptally.llm import (
+    fingerprints,
+    html_text,
+    mixing,
+    near_dups,
+    packing,
+    quality_rules,
+    resampling,
+    secrets,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,9 +36,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": lambda spark, sf: html_text.main_texts(_read(spark, sf, "pages")),
     "op9_mixing": lambda spark, sf: mixing.report(_read(spark, sf, "documents")),
     "op10_packing": lambda spark, sf: packing.pack(_read(spark, sf, "documents")),
+    "op11_importance_resampling": lambda spark, sf: resampling.report(
+        _read(spark, sf, "documents"), _read(spark, sf, "benchmark")
+    ),
 }
 
 ORACLES: dict[str, str] = {
     "op3_quality_rules": quality_rules.report_sql(),
     "op9_mixing": mixing.report_sql(),
+    "op11_importance_resampling": resampling.report_sql(),
 }
