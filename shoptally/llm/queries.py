@@ -12,6 +12,7 @@ from shoptally.llm import (
     mixing,
     near_dups,
     packing,
+    prefix_trie,
     quality_rules,
     resampling,
     secrets,
@@ -39,10 +40,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_importance_resampling": lambda spark, sf: resampling.report(
         _read(spark, sf, "documents"), _read(spark, sf, "benchmark")
     ),
+    "op13_conversation_trie": lambda spark, sf: prefix_trie.report(_read(spark, sf, "conversations")),
 }
 
 ORACLES: dict[str, str] = {
     "op3_quality_rules": quality_rules.report_sql(),
     "op9_mixing": mixing.report_sql(),
     "op11_importance_resampling": resampling.report_sql(),
+    "op13_conversation_trie": prefix_trie.report_sql(),
 }
