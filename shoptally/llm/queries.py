@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shoptally.llm import (
     fingerprints,
     html_text,
+    licences,
     mixing,
     near_dups,
     packing,
@@ -40,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_importance_resampling": lambda spark, sf: resampling.report(
         _read(spark, sf, "documents"), _read(spark, sf, "benchmark")
     ),
+    "op12_licence_scans": lambda spark, sf: licences.report(_read(spark, sf, "documents")),
     "op13_conversation_trie": lambda spark, sf: prefix_trie.report(_read(spark, sf, "conversations")),
 }
 
@@ -47,5 +49,6 @@ ORACLES: dict[str, str] = {
     "op3_quality_rules": quality_rules.report_sql(),
     "op9_mixing": mixing.report_sql(),
     "op11_importance_resampling": resampling.report_sql(),
+    "op12_licence_scans": lambda spark, sf: licences.report(_read(spark, sf, "documents")),
     "op13_conversation_trie": prefix_trie.report_sql(),
 }

@@ -6,7 +6,7 @@ gives the bucket's gain, the logarithm of how much likelier the target makes it.
 gain of its features; with Gumbel noise drawn from its id added, the highest scores are a sample without
 replacement, likelier where the weight is higher.
 
-Arrow kernels take a batch of texts apart (ascii_lower, split_pattern_regex, list_flatten) and number its
+Arrow kernels take a batch of texts apart (ascii_lower, split_pattern_regex and list_flatten in ``split_words``) and number its
 distinct words (dictionary_encode); shifted indices form n-grams, only distinct ones are hashed, and gains are
 taken by index and summed per text.  Both passes read the texts and shuffle none; between them the
 driver holds one number per bucket.  The threshold comes from a histogram of scores, which are whole numbers in a
@@ -26,13 +26,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from shoptally.llm.storage import saved
-from shoptally.llm.words import slices
+from shoptally.llm.words import SEPARATORS, slices, split_words
 from shoptally.operators.ordering import with_position
 
 BUCKETS = 10_000
@@ -41,15 +40,13 @@ MIN_WORDS = 20
 PERCENT = 10
 SEED = "2024"
 SCALE = 1000
-SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 TEXT_BYTES = 8 << 20
 
 
 def features(texts: pa.Array, order: int = ORDER) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For n = 1 to ``order``: bucket of each distinct n-gram, which of them stands where, and its text's row."""
-    split = pc.split_pattern_regex(pc.ascii_lower(texts.cast(pa.large_string()).fill_null("")), SEPARATORS)
-    row = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
-    words = pc.list_flatten(split).dictionary_encode()
+    flat, row = split_words(texts)
+    words = flat.dictionary_encode()
     index = words.indices.to_numpy().astype(np.int64)
     spelt = words.dictionary.cast(pa.large_binary()).to_pylist()
     # Separators at either end of a text leave an empty word.
@@ -180,7 +177,7 @@ def report_sql() -> str:
     """The same report in DuckDB SQL, one row per word."""
     capitals, small = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     lowered = f"translate(coalesce(text, ''), '{capitals}', '{small}')"
-    words = f"list_filter(string_split_regex({lowered}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
+    words = f"list_filter(string_split_regex({lowered}, '{SEPARATORS}'), lambda w: w <> '')"
     return f"""
 WITH k AS ({CRC_STEPS_SQL}),
 d AS (SELECT row_number() OVER () AS rid, doc_id, {words} AS ws FROM documents),

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once; a longer text is worked on alone.
 CHUNK_BYTES = 2 << 20
@@ -34,6 +35,21 @@ def fold_table(letters_only: bool = False, lower: bool = True) -> np.ndarray:
     return table
 
 
+#: What stands between words of letters and digits: every other ASCII character.
+SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def split_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of letters and digits of all texts, A-Z in lower case, and the row of each; null is the empty text.
+
+    A separator at either end of a text leaves an empty word there.
+    """
+    # Lower case comes before the cast: pyarrow's kernel misreads slices that were cast first.
+    split = pc.split_pattern_regex(pc.ascii_lower(column.fill_null("")).cast(pa.large_string()), SEPARATORS)
+    per_row = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+    return pc.list_flatten(split), np.repeat(np.arange(len(column)), per_row)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string or binary column and where each row begins; null is the empty text."""
     column = column.cast(pa.large_binary()).fill_null(b"")
