@@ -49,6 +49,5 @@ ORACLES: dict[str, str] = {
     "op3_quality_rules": quality_rules.report_sql(),
     "op9_mixing": mixing.report_sql(),
     "op11_importance_resampling": resampling.report_sql(),
-    "op12_licence_scans": lambda spark, sf: licences.report(_read(spark, sf, "documents")),
     "op13_conversation_trie": prefix_trie.report_sql(),
 }
