@@ -6,13 +6,15 @@ Each entry only wires operators together; nothing runs until the result is read.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoptally.functions.calendar import previous_month
 from shoptally.functions.numeric import half_up
 from shoptally.operators import analytics, features, forecast, profiles, quality, serving, views
+from shoptally.operators.ordering import with_position
 from shoptally.sources.files import to_records
 from shoptally.sources.retail import Retail
 
@@ -209,6 +211,66 @@ def store_features(r: Retail) -> DataFrame:
     return features.store_features(store_performance(r), daily_sales(r), r.as_of)
 
 
+# --- ordered results ------------------------------------------------------------------------------
+
+#: The order of each result, as columns and directions; a dash before a column is descending.  No column but
+#: those with a question mark may be null, and nulls come last.
+ORDERS: dict[str, tuple[str, ...]] = {
+    "v_monthly_revenue_by_city": ("city", "month"),
+    "v_focus_revenue_trend": ("month",),
+    "v_marketing_spend_by_city_month": ("city?", "month"),
+    "v_focus_stockout_indicators": ("month", "store_name"),
+    "v_return_rate_by_city_month": ("city", "month"),
+    "v_category_revenue_by_city_month": ("city", "month", "-revenue", "category"),
+    "v_monthly_active_customers_by_city": ("city", "month"),
+    "v_new_vs_returning_customers_by_city_month": ("city", "month"),
+    "v_repeat_purchase_rate_by_city_month": ("city", "month"),
+    "v_avg_order_value_by_city_month": ("city", "month"),
+    "v_focus_customer_retention": ("month",),
+    "v_customer_cohort_summary": ("city?", "cohort_month", "month_offset"),
+    "customer_summary": ("customer_id",),
+    "daily_sales": ("date", "store_id"),
+    "monthly_sales": ("month",),
+    "product_performance": ("product_id",),
+    "product_monthly_sales": ("product_id", "month"),
+    "store_performance": ("store_id",),
+    "inventory_health": ("product_id",),
+    "marketing_performance": ("campaign_id",),
+    "returns_summary": ("product_id",),
+    "sales_forecasting_features": ("month",),
+    "customer_features": ("customer_id",),
+    "product_features": ("product_id",),
+    "store_features": ("store_id",),
+    "closest_to_stockout_all": ("estimated_days_to_stockout?", "product_id"),
+}
+
+
+def order_columns(order: Sequence[str]) -> list[Column]:
+    names = [F.col(c.strip("-?")) for c in order]
+    return [n.desc_nulls_last() if c[0] == "-" else n.asc_nulls_last() for c, n in zip(order, names, strict=True)]
+
+
+def ordered(name: str, r: Retail) -> DataFrame:
+    """A result with its rows' places in its order, found by ranges; the rows themselves are not gathered."""
+    build = inventory_health if name == "closest_to_stockout_all" else QUERIES[name]
+    return with_position(build(r), order_columns(ORDERS[name]))
+
+
+def in_order(name: str, r: Retail) -> DataFrame:
+    """A result in its order, to show or to write: Spark's sort over the whole table."""
+    return QUERIES[name](r).orderBy(*order_columns(ORDERS[name]))
+
+
+ORDERED = (
+    *(name for name in ORDERS if name.startswith("v_")),
+    "daily_sales",
+    "product_monthly_sales",
+    "customer_features",
+    "closest_to_stockout_all",
+)
+QUERIES |= {f"ordered_{name}": partial(ordered, name) for name in ORDERED}
+
+
 # --- data quality ---------------------------------------------------------------------------------
 
 

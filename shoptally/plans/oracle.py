@@ -92,7 +92,7 @@ CTES: dict[str, str] = {
                h.order_date, h.channel, h.order_status
         FROM r_headers h LEFT JOIN customer ON h.customer_id = c_custkey""",
     "r_items": """
-        SELECT (l_orderkey * 100000 + l_partkey) * 10 + l_linenumber AS order_item_id, l_orderkey AS order_id,
+        SELECT (l_orderkey * 134217728 + l_partkey) * 8 + l_linenumber AS order_item_id, l_orderkey AS order_id,
                l_partkey AS product_id, CAST(l_quantity AS BIGINT) AS quantity,
                CAST(FLOOR(l_extendedprice * (1 - l_discount) / l_quantity * 100 + 0.5) / 100 AS DECIMAL(10,2)) AS unit_price,
                CAST(l_discount AS DECIMAL(4,2)) AS discount_pct,
@@ -100,7 +100,7 @@ CTES: dict[str, str] = {
                     AS DECIMAL(18,4)) AS line_total
         FROM lineitem""",
     "r_returns": """
-        SELECT (l_orderkey * 100000 + l_partkey) * 10 + l_linenumber AS return_id, l_orderkey AS order_id,
+        SELECT (l_orderkey * 134217728 + l_partkey) * 8 + l_linenumber AS return_id, l_orderkey AS order_id,
                l_partkey AS product_id,
                CAST(CAST(o_orderdate AS DATE) + CAST(l_linenumber * 3 % 13 + 1 AS INT) AS DATE) AS return_date,
                l_linestatus AS return_reason
@@ -929,6 +929,32 @@ _BODIES: dict[str, str] = {
     "histogram_units": histogram("t_product_features", "units_sold"),
 }
 
+# The place of every row in the order of a result.
+_ORDERS = {
+    "v_monthly_revenue_by_city": "city, month",
+    "v_focus_revenue_trend": "month",
+    "v_marketing_spend_by_city_month": "city NULLS LAST, month",
+    "v_focus_stockout_indicators": "month, store_name",
+    "v_return_rate_by_city_month": "city, month",
+    "v_category_revenue_by_city_month": "city, month, revenue DESC, category",
+    "v_monthly_active_customers_by_city": "city, month",
+    "v_new_vs_returning_customers_by_city_month": "city, month",
+    "v_repeat_purchase_rate_by_city_month": "city, month",
+    "v_avg_order_value_by_city_month": "city, month",
+    "v_focus_customer_retention": "month",
+    "v_customer_cohort_summary": "city NULLS LAST, cohort_month, month_offset",
+    "daily_sales": "date, store_id",
+    "product_monthly_sales": "product_id, month",
+    "customer_features": "customer_id",
+}
+_BODIES |= {
+    f"ordered_{name}": f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({_BODIES[name]}) ranked"
+    for name, order in _ORDERS.items()
+}
+_BODIES["ordered_closest_to_stockout_all"] = """
+    SELECT *, row_number() OVER (ORDER BY estimated_days_to_stockout ASC NULLS LAST, product_id) AS position
+    FROM t_inventory_health"""
+
 # Without an entry: the queries with a fitted regression, and the JSON export, whose number
 # formatting differs by engine.  They are tested against known answers instead.
 ORACLES: dict[str, str] = {name: statement(body) for name, body in _BODIES.items()}

@@ -27,9 +27,10 @@ SCHEMAS = {
     ),
 }
 
-# Fixed values of the mapping: calendar start, key of a line.
+# Fixed values of the mapping: calendar start, key of a line.  The key has room for 134,217,727 parts and
+# lines 0 to 7; an order key it has no room for is an error.
 _START = "DATE '1995-01-01'"
-_LINE_ID = "(l_orderkey * 100000 + l_partkey) * 10 + l_linenumber"
+_LINE_ID = "(l_orderkey * 134217728 + l_partkey) * 8 + l_linenumber"
 
 
 class StarSchemaRetail(Retail):
