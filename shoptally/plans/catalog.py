@@ -5,6 +5,7 @@ Each entry only wires operators together; nothing runs until the result is read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from functools import partial
 
@@ -15,8 +16,11 @@ from shoptally.functions.calendar import previous_month
 from shoptally.functions.numeric import half_up
 from shoptally.operators import analytics, features, forecast, profiles, quality, serving, views
 from shoptally.operators.ordering import with_position
-from shoptally.sources.files import to_records
+from shoptally.sources.csv_scan import CsvScan, scan_csv
+from shoptally.sources.files import save_table, to_records
+from shoptally.sources.loads import Loads
 from shoptally.sources.retail import Retail
+from shoptally.sources.scratch import shared_folder
 
 Query = Callable[[Retail], DataFrame]
 
@@ -24,6 +28,7 @@ Query = Callable[[Retail], DataFrame]
 FOCUS_CITY = "NATION_0"
 SIGNUP_WINDOW = ("1995-01-01", "2000-06-23")
 RECENT_MONTHS = 2
+SECOND_LOAD = "1998-07-01"
 PIVOT_ORDER_MONTHS = 6
 PIVOT_REVENUE_MONTHS = 4
 
@@ -586,6 +591,74 @@ def export_records_json(r: Retail) -> DataFrame:
     return to_records(monthly_sales(r))
 
 
+# --- files and loads ------------------------------------------------------------------------------------
+
+
+def _as_csv(df: DataFrame) -> str:
+    """A table as CSV in the shared folder, its columns in another order."""
+    path = f"{shared_folder(df.sparkSession)}/csv-{uuid.uuid4()}"
+    save_table(df.select(*sorted(df.columns)), path, "csv")
+    return path
+
+
+def _scanned(df: DataFrame) -> CsvScan:
+    return scan_csv(df.sparkSession, _as_csv(df), df.schema)
+
+
+@_query
+def csv_orders(r: Retail) -> DataFrame:
+    """Orders with their dates, out to CSV and in again by header names."""
+    return _scanned(r.order_headers).rows
+
+
+@_query
+def csv_products(r: Retail) -> DataFrame:
+    """Products with their prices, which come in as decimals."""
+    return _scanned(r.products).rows.withColumns({c: F.col(c).cast("double") for c in ("unit_price", "unit_cost")})
+
+
+@_query
+def csv_rejected_orders(r: Retail) -> DataFrame:
+    """What a scan sets aside of a file in which cancelled orders have no date and online ones an odd id."""
+    damaged = r.order_headers.withColumns(
+        {
+            "order_date": F.when(F.col("order_status") == "cancelled", "none").otherwise(F.col("order_date").cast("string")),
+            "customer_id": F.when(F.col("channel") == "online", F.concat(F.lit("c"), "customer_id")).otherwise(
+                F.col("customer_id").cast("string")
+            ),
+        }
+    )
+    scan = scan_csv(damaged.sparkSession, _as_csv(damaged), r.order_headers.schema)
+    return scan.rejected.select("record", F.array_join("failed", ",").alias("failed"))
+
+
+@_query
+def load_counts(r: Retail) -> DataFrame:
+    """All tables loaded in two batches, the second one twice: rows that are there, and rows without a parent.
+
+    The first batch has the older half of the orders and all lines; the second the other orders and what the
+    first set aside.
+    """
+    spark = r.order_headers.sparkSession
+    tables = r.tables()
+    loads = Loads(spark, f"{shared_folder(spark)}/loads-{uuid.uuid4()}")
+    loads.load({**tables, "orders": r.orders.where(F.col("order_date") < SECOND_LOAD)}, "older")
+    again = {name: loads.set_aside(name, "older") for name in ("order_items", "returns")}
+    newer = {"orders": r.orders.where(F.col("order_date") >= SECOND_LOAD), **again}
+    for _ in range(2):
+        loads.load(newer, "newer")
+    notes = {n["load"]: n for n in loads.notes()}
+    rows = [
+        (
+            name,
+            sum(n["counts"].get(name, 0) for n in notes.values()),
+            notes["older"]["rejected"][name] * (name not in again) + notes["newer"]["rejected"].get(name, 0),
+        )
+        for name in tables
+    ]
+    return spark.createDataFrame(rows, "table_name string, loaded long, set_aside long")
+
+
 # --- profiles -------------------------------------------------------------------------------------------
 
 

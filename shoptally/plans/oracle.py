@@ -929,6 +929,35 @@ _BODIES: dict[str, str] = {
     "histogram_units": histogram("t_product_features", "units_sold"),
 }
 
+_BODIES |= {
+    "csv_orders": "SELECT * FROM r_headers",
+    "csv_products": """SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price, CAST(unit_cost AS DOUBLE) AS unit_cost)
+        FROM r_products""",
+    "csv_rejected_orders": """
+        SELECT channel || ',' || CASE WHEN channel = 'online' THEN 'c' ELSE '' END || CAST(customer_id AS VARCHAR) || ','
+               || CASE WHEN order_status = 'cancelled' THEN 'none' ELSE CAST(order_date AS VARCHAR) END || ','
+               || CAST(order_id AS VARCHAR) || ',' || order_status AS record,
+               concat_ws(',', CASE WHEN channel = 'online' THEN 'customer_id' END,
+                         CASE WHEN order_status = 'cancelled' THEN 'order_date' END) AS failed
+        FROM r_headers WHERE channel = 'online' OR order_status = 'cancelled'""",
+    "load_counts": f"""
+        SELECT * FROM (WITH
+        good_orders AS (SELECT order_id FROM r_orders JOIN r_customers USING (customer_id) JOIN r_stores USING (store_id)),
+        good_items AS (SELECT order_item_id FROM r_items JOIN good_orders USING (order_id) JOIN r_products USING (product_id)),
+        good_returns AS (SELECT return_id FROM r_returns JOIN good_orders USING (order_id) JOIN r_products USING (product_id)),
+        good_stock AS (SELECT product_id FROM r_inventory JOIN r_stores USING (store_id) JOIN r_products USING (product_id)),
+        sizes AS ({union([
+            f"SELECT '{table}' AS table_name, (SELECT COUNT(*) FROM {good}) AS loaded, (SELECT COUNT(*) FROM {every}) AS n"
+            for table, good, every in (
+                ("customers", "r_customers", "r_customers"), ("stores", "r_stores", "r_stores"),
+                ("products", "r_products", "r_products"), ("orders", "good_orders", "r_orders"),
+                ("order_items", "good_items", "r_items"), ("inventory", "good_stock", "r_inventory"),
+                ("returns", "good_returns", "r_returns"), ("marketing_campaigns", "r_campaigns", "r_campaigns"),
+            )
+        ])})
+        SELECT table_name, loaded, n - loaded AS set_aside FROM sizes) q""",
+}
+
 # The place of every row in the order of a result.
 _ORDERS = {
     "v_monthly_revenue_by_city": "city, month",

@@ -7,6 +7,7 @@ Schemas are always declared for CSV, never inferred.
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Mapping
 
 from py4j.protocol import Py4JError
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, StructType
 
+from shoptally.sources.loads import Loads
 from shoptally.sources.schemas import LOAD_ORDER, SCHEMAS
 
 log = logging.getLogger(__name__)
@@ -26,7 +28,7 @@ def read_table(
     """A table; columns of a CSV file are found by the names in its header, and a bad cell is an error."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if fmt == "csv":
-        options = {"header": True, "dateFormat": "yyyy-MM-dd", "mode": "FAILFAST"}
+        options = {"header": True, "escape": '"', "dateFormat": "yyyy-MM-dd", "mode": "FAILFAST"}
         if schema is None:
             return spark.read.options(**options).csv(path)
         # With a schema Spark takes columns by place, so the header's order comes first.
@@ -71,7 +73,7 @@ def save_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.options(header=True, escape='"').csv(path)
     else:
         writer.format(fmt).save(path)
 
@@ -91,16 +93,17 @@ def append_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, st
 
 
 def load_all(
-    read: Callable[[str], DataFrame], target: str, refresh: bool = False, fmt: str = "parquet"
+    read: Callable[[str], DataFrame], target: str, refresh: bool = False, load: str | None = None
 ) -> dict[str, int]:
-    """Load the eight tables, parents first; `refresh` empties each table before its load."""
-    counts = {}
-    for name in LOAD_ORDER:
-        path = f"{target}/{name}"
-        batch = read(name).select(*SCHEMAS[name].fieldNames())
-        if refresh:
-            save_table(batch.limit(0), path, fmt)
-        counts[name] = append_table(batch, path, fmt)
+    """Load the eight tables, parents first; a repeated ``load`` id adds nothing, `refresh` replaces what is there.
+
+    Until all of them are written, readers see the tables as they were.
+    """
+    tables = {name: read(name).select(*SCHEMAS[name].fieldNames()) for name in LOAD_ORDER}
+    loads = Loads(tables[LOAD_ORDER[0]].sparkSession, target)
+    counts = loads.load(tables, load or uuid.uuid4().hex, refresh)
+    if refresh:
+        loads.clear_hidden()
     return counts
 
 
