@@ -16,6 +16,7 @@ from shoptally.functions.calendar import previous_month
 from shoptally.functions.numeric import half_up
 from shoptally.operators import analytics, features, forecast, profiles, quality, serving, views
 from shoptally.operators.ordering import with_position
+from shoptally.plans import sql_views
 from shoptally.sources.csv_scan import CsvScan, scan_csv
 from shoptally.sources.files import save_table, to_records
 from shoptally.sources.loads import Loads
@@ -276,6 +277,16 @@ ORDERED = (
 QUERIES |= {f"ordered_{name}": partial(ordered, name) for name in ORDERED}
 
 
+# --- the views as SQL text ------------------------------------------------------------------------
+
+
+def _sql_view(name: str, r: Retail) -> DataFrame:
+    return sql_views.view(r.order_headers.sparkSession, r, name, FOCUS_CITY)
+
+
+QUERIES |= {f"sql_{name}": partial(_sql_view, name) for name in sql_views.RESULTS}
+
+
 # --- data quality ---------------------------------------------------------------------------------
 
 
