@@ -12,7 +12,9 @@ from pyspark.sql.types import DecimalType
 
 
 def half_up(value: Column, digits: int) -> Column:
-    return F.round(value.cast("double").cast(DecimalType(38, 18)), digits).cast("double")
+    """Rounded; a double that has no decimal of 20 digits before the point has no digits after it and stays as it is."""
+    double = value.cast("double")
+    return F.coalesce(F.round(double.try_cast(DecimalType(38, 18)), digits).cast("double"), double)
 
 
 def money(total: Column) -> Column:

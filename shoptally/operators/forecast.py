@@ -148,6 +148,17 @@ def predictions(split: DataFrame) -> DataFrame:
     )
 
 
+def baseline_predictions(split: DataFrame) -> DataFrame:
+    """Actual revenue and the two forecasts that need no model."""
+    return _test_rows(split).select(
+        "series_id",
+        "month",
+        F.col("revenue").alias("actual_revenue"),
+        F.col("previous_month_revenue").alias("naive_pred"),
+        F.col("previous_3_month_avg_revenue").alias("rolling_pred"),
+    )
+
+
 def linear_forecast(split: DataFrame) -> DataFrame:
     return predictions(split).select(
         "series_id", "month", F.col("actual_revenue").alias("revenue"), "linreg_pred"

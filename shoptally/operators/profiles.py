@@ -13,16 +13,17 @@ from shoptally.functions.calendar import date_bounds, month_label, month_of, mon
 from shoptally.functions.frames import series
 from shoptally.functions.numeric import half_up, money, ratio
 from shoptally.operators.facts import city_of, completed, order_totals
+from shoptally.operators.ordering import sorted_in_ranges
 
-_BUCKETS = 4096
 
 
-def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows and columns of each table."""
+def table_counts(tables: Mapping[str, DataFrame], counted: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Rows and columns of each table; ``counted`` names tables with as many rows that cost less to count."""
+    counted = counted or {}
     counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count", F.lit(len(df.columns)).alias("column_count")
-        )
+        counted.get(name, df)
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(name).alias("table_name"), "row_count", F.lit(len(df.columns)).alias("column_count"))
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
@@ -71,9 +72,10 @@ def across(per_city_month: DataFrame, value: str, cities: Sequence[str]) -> Data
     return per_city_month.groupBy("month").pivot("city", list(cities)).agg(F.sum(value)).na.fill(0)
 
 
-def monthly_signups(customers: DataFrame) -> DataFrame:
+def monthly_signups(customers: DataFrame, newest: int | None = None) -> DataFrame:
     """(month, city, signups)"""
-    return customers.groupBy(month_of("signup_date").alias("month"), "city").agg(F.count(F.lit(1)).alias("signups"))
+    per_city = customers.groupBy(month_of("signup_date").alias("month"), "city").agg(F.count(F.lit(1)).alias("signups"))
+    return _newest(per_city, newest)
 
 
 def monthly_orders(orders: DataFrame, stores: DataFrame, newest: int | None = None) -> DataFrame:
@@ -222,24 +224,20 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def exact_quantiles(values: DataFrame, basics: DataFrame, probabilities: Sequence[float]) -> DataFrame:
     """Linearly interpolated quantiles of `x` per `column`, without sorting all values in a task.
 
-    Equal values are combined first.  Equal-width buckets then locate each wanted rank, and
-    only the buckets that hold one are ordered, each in its own partition.  Buckets split the
-    value range, so a bucket of a DECIMAL(10,2) or INTEGER column has a bounded number of
-    distinct values however many rows there are.  `basics` has min, max and count per column.
+    Equal values are combined first.  The distinct ones are sorted in ranges whose bounds Spark takes from the values
+    themselves, so an outlier or a narrow cluster of doubles does not put most of them in one range.  The
+    values of a range, summed up, show which ranges hold a wanted rank, and only these are added up
+    value by value.  `basics` has min, max and count per column.  The distinct values are kept as a table.
     """
     distinct = values.groupBy("column", "x").agg(F.count(F.lit(1)).alias("n"))
-    ranges = basics.selectExpr("column", "min AS lo", "max AS hi", "count AS rows")
-    span = F.col("hi") - F.col("lo")
-    position = F.coalesce(ratio((F.col("x") - F.col("lo")) * _BUCKETS, span), F.lit(0.0))
-    placed = distinct.join(ranges, "column").withColumn(
-        "bucket", F.least(F.floor(position), F.lit(_BUCKETS - 1)).cast("int")
-    )
-    so_far = W.partitionBy("column").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    # One row per column and bucket: at most _BUCKETS rows in a window.
-    buckets = (
-        placed.groupBy("column", "bucket", "rows")
-        .agg(F.sum("n").alias("in_bucket"))
-        .withColumn("before", F.sum("in_bucket").over(so_far) - F.col("in_bucket"))
+    placed = sorted_in_ranges(distinct, ["column", "x"])
+    so_far = W.partitionBy("column").orderBy("_o_range").rowsBetween(W.unboundedPreceding, W.currentRow)
+    # One row per column and range.
+    ranges = (
+        placed.groupBy("column", "_o_range")
+        .agg(F.sum("n").alias("in_range"))
+        .withColumn("before", F.sum("in_range").over(so_far) - F.col("in_range"))
+        .join(basics.select("column", F.col("count").alias("rows")), "column")
     )
     ranks = F.array(
         *[
@@ -248,16 +246,16 @@ def exact_quantiles(values: DataFrame, basics: DataFrame, probabilities: Sequenc
         ]
     )
     wanted = (
-        buckets.select("column", "bucket", "before", "in_bucket", F.inline(ranks))
-        .select("*", F.explode(F.array(F.floor("position"), F.ceil("position"))).alias("rank"))
-        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("in_bucket")))
+        ranges.select("column", "_o_range", "before", "in_range", F.inline(ranks))
+        .select("*", F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position")))).alias("rank"))
+        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("in_range")))
     )
-    within = W.partitionBy("column", "bucket").orderBy("x").rowsBetween(W.unboundedPreceding, W.currentRow)
-    hit = wanted.select("column", "bucket").distinct()
-    ordered = placed.join(hit, ["column", "bucket"], "left_semi").select(
-        "column", "bucket", "x", "n", (F.sum("n").over(within)).alias("through")
+    within = W.partitionBy("column", "_o_range").orderBy("x").rowsBetween(W.unboundedPreceding, W.currentRow)
+    hit = wanted.select("column", "_o_range").distinct()
+    ordered = placed.join(hit, ["column", "_o_range"], "left_semi").select(
+        "column", "_o_range", "x", "n", F.sum("n").over(within).alias("through")
     )
-    found = ordered.join(wanted, ["column", "bucket"]).where(
+    found = ordered.join(wanted, ["column", "_o_range"]).where(
         (F.col("rank") < F.col("before") + F.col("through"))
         & (F.col("rank") >= F.col("before") + F.col("through") - F.col("n"))
     )

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from shoptally.functions.calendar import date_bounds, month_of, months
 from shoptally.functions.frames import series
-from shoptally.functions.numeric import half_up, ratio
+from shoptally.functions.numeric import percent, half_up, ratio
 from shoptally.operators.facts import city_of, store_month_revenue
 from shoptally.sources.schemas import CANCELLED, FOREIGN_KEYS
 
@@ -521,7 +521,7 @@ class TableRules:
 
 
 def table_profile(name: str, df: DataFrame, rules: TableRules) -> DataFrame:
-    """One row: table, rows, columns and the outcome of each rule, in one pass over the table."""
+    """One row: table, rows, columns, nulls of each column and the outcome of each rule, in one pass over the table."""
     bad = [
         *[(check, condition, "violation(s)") for check, condition in rules.never.items()],
         *[(f"{c} >= 0", f"`{c}` < 0", "negative row(s)") for c in rules.non_negative],
@@ -538,6 +538,7 @@ def table_profile(name: str, df: DataFrame, rules: TableRules) -> DataFrame:
         F.expr(f"sum({copies}) AS n"),
         F.expr(f"sum({copies} - 1) AS extra"),
         *[F.expr(f"sum(if({condition}, {copies}, 0)) AS bad_{i}") for i, (_, condition, _) in enumerate(bad)],
+        *[F.expr(f"sum(if(`{c}` IS NULL, {copies}, 0)) AS null_{i}") for i, c in enumerate(df.columns)],
     )
     floor = rules.min_rows if isinstance(rules.min_rows, Column) else F.lit(rules.min_rows)
     counts = per_key.agg(
@@ -545,7 +546,9 @@ def table_profile(name: str, df: DataFrame, rules: TableRules) -> DataFrame:
         *_key_counts(rules.key),
         _total("extra", "surplus"),
         *[_total(f"bad_{i}", f"bad_{i}") for i in range(len(bad))],
+        *[_total(f"null_{i}", f"null_{i}") for i in range(len(df.columns))],
     ).withColumn("floor", floor)
+    nulls = [f"named_struct('column', {_quoted(c)}, 'n', null_{i})" for i, c in enumerate(df.columns)]
 
     listed = str(list(rules.key))
     checks = [
@@ -567,6 +570,7 @@ def table_profile(name: str, df: DataFrame, rules: TableRules) -> DataFrame:
         "row_count",
         f"{len(df.columns)} AS column_count",
         f"array({', '.join(outcomes)}) AS checks",
+        f"array({', '.join(nulls)}) AS nulls",
     )
 
 
@@ -588,6 +592,34 @@ def table_summary(profiles: DataFrame) -> DataFrame:
     )
 
 
+def failed_checks(profiles: DataFrame) -> DataFrame:
+    """(table_name, check, detail) of the rules that do not hold."""
+    return table_checks(profiles).where("NOT passed").drop("passed")
+
+
+def missing_report(profiles: DataFrame) -> DataFrame:
+    """(table_name, column_name, missing, missing_pct) of every column, those without nulls too."""
+    listed = profiles.selectExpr("table_name", "row_count", "inline(nulls)")
+    return listed.select(
+        "table_name",
+        F.col("column").alias("column_name"),
+        F.col("n").alias("missing"),
+        percent(F.col("n"), F.col("row_count")).alias("missing_pct"),
+    )
+
+
+def profile_report(profiles: DataFrame) -> DataFrame:
+    """One row per table: its size and status, the rules that do not hold, and the columns that have nulls."""
+    return profiles.selectExpr(
+        "table_name",
+        "row_count",
+        "column_count",
+        _STATUS,
+        "array_join(transform(filter(checks, c -> NOT c.passed), c -> concat(c.check, ': ', c.detail)), '; ') AS failed_checks",
+        "array_join(transform(filter(nulls, c -> c.n > 0), c -> concat(c.column, ': ', c.n)), '; ') AS missing_values",
+    )
+
+
 def final_listing(profiles: DataFrame) -> DataFrame:
     return profiles.selectExpr("table_name", "row_count", "column_count", _STATUS)
 

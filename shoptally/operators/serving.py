@@ -32,9 +32,14 @@ def overview(monthly: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def customers_sample(summary: DataFrame, features: DataFrame, sample_size: int = 20) -> DataFrame:
-    """Total customer count next to the first customers of both tables, by customer_id."""
-    total = summary.agg(F.count(F.lit(1))).scalar()
+def customers_sample(
+    summary: DataFrame, features: DataFrame, sample_size: int = 20, total: Column | None = None
+) -> DataFrame:
+    """Total customer count next to the first customers of both tables, by customer_id.
+
+    Where the tables hold no more than these customers, ``total`` says how many there are.
+    """
+    total = summary.agg(F.count(F.lit(1))).scalar() if total is None else total
     first = summary.orderBy("customer_id").limit(sample_size)
     extra = [c for c in features.columns if c not in summary.columns]
     return first.join(features.select("customer_id", *extra), "customer_id", "left").withColumn(
@@ -42,6 +47,15 @@ def customers_sample(summary: DataFrame, features: DataFrame, sample_size: int =
     )
 
 
+def first_customers(
+    customers: DataFrame, orders: DataFrame, order_items: DataFrame, sample_size: int = 20
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The first customers by id, with their orders and lines alone."""
+    first = customers.orderBy("customer_id").limit(sample_size)
+    theirs = orders.join(first.select("customer_id"), "customer_id", "left_semi")
+    return first, theirs, order_items.join(theirs.select("order_id"), "order_id", "left_semi")
+
+
 def month_over_month(monthly: DataFrame) -> DataFrame:
     """Latest month against the row before it, one row per KPI; null without a usable prior."""
     order = series([], "month")

@@ -12,7 +12,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoptally.functions.calendar import previous_month
+from shoptally.functions.calendar import parse_month, previous_month
 from shoptally.functions.numeric import half_up
 from shoptally.operators import analytics, features, forecast, profiles, quality, serving, views
 from shoptally.operators.ordering import with_position
@@ -161,6 +161,15 @@ def product_performance(r: Retail) -> DataFrame:
     return analytics.product_performance(r.products, _product_sales(r), r.return_lines)
 
 
+@_query
+def product_performance_list_price(r: Retail) -> DataFrame:
+    """The same from lines that do not say their discount: it is what the charged price is below the list price."""
+    lines = r.order_items.drop("discount_pct")
+    return analytics.product_performance(
+        r.products, analytics.product_sales(r.order_headers, lines, r.products), r.return_lines
+    )
+
+
 @_query
 def product_monthly_sales(r: Retail) -> DataFrame:
     sales = analytics.product_sales(r.order_headers, r.order_items, r.products, by_month=True)
@@ -424,6 +433,21 @@ def dq_feature_table_checks(r: Retail) -> DataFrame:
     return quality.table_checks(_feature_profiles(r))
 
 
+@_query
+def dq_failed_checks(r: Retail) -> DataFrame:
+    return quality.failed_checks(_analytics_profiles(r).unionByName(_feature_profiles(r)))
+
+
+@_query
+def dq_feature_missing(r: Retail) -> DataFrame:
+    return quality.missing_report(_feature_profiles(r))
+
+
+@_query
+def dq_table_profile(r: Retail) -> DataFrame:
+    return quality.profile_report(_analytics_profiles(r))
+
+
 @_query
 def dq_final_listing(r: Retail) -> DataFrame:
     return quality.final_listing(_analytics_profiles(r).unionByName(_feature_profiles(r)))
@@ -494,6 +518,26 @@ def forecast_metrics_guarded(r: Retail) -> DataFrame:
     return forecast.forecast_metrics(predicted, skip_zero_actuals=True).drop("rank")
 
 
+def _product_split(r: Retail) -> DataFrame:
+    """Sales per product on the calendar without gaps, where many months have none."""
+    series = product_monthly_sales(r).select(
+        F.col("product_id").alias("series_id"), parse_month("month").alias("month"), F.col("units_sold").alias("orders"), "revenue"
+    )
+    return forecast.time_split(forecast.forecast_features(series))
+
+
+@_query
+def forecast_product_metrics(r: Retail) -> DataFrame:
+    """Errors of the two simple forecasts per product; a month without revenue makes the percentage infinite."""
+    return forecast.forecast_metrics(forecast.baseline_predictions(_product_split(r))).drop("rank")
+
+
+@_query
+def forecast_product_metrics_guarded(r: Retail) -> DataFrame:
+    predicted = forecast.baseline_predictions(_product_split(r))
+    return forecast.forecast_metrics(predicted, skip_zero_actuals=True).drop("rank")
+
+
 @_query
 def forecast_best_model(r: Retail) -> DataFrame:
     return forecast.best_model(forecast.forecast_metrics(forecast.predictions(_split(r))))
@@ -533,8 +577,11 @@ def payload_overview(r: Retail) -> DataFrame:
 
 @_query
 def payload_customers_sample(r: Retail) -> DataFrame:
-    summary = customer_summary(r)
-    return serving.customers_sample(summary, features.customer_features(summary))
+    summary = analytics.customer_summary(
+        *serving.first_customers(r.customers, r.order_headers, r.order_items), r.as_of
+    )
+    everyone = r.customers.agg(F.count(F.lit(1))).scalar()
+    return serving.customers_sample(summary, features.customer_features(summary), total=everyone)
 
 
 @_query
@@ -602,6 +649,24 @@ def export_records_json(r: Retail) -> DataFrame:
     return to_records(monthly_sales(r))
 
 
+@_query
+def export_records_parsed(r: Retail) -> DataFrame:
+    """Records with texts to escape, not-a-numbers, nulls, dates and decimals, out as JSON and in again by type."""
+    day = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("product_id") % 2000).cast("int"))
+    rows = r.products.select(
+        "product_id",
+        F.concat(F.lit('"'), "product_name", F.lit("\\ \n\té/")).alias("label"),
+        F.when(F.col("product_id") % 5 != 0, F.col("category")).alias("category"),
+        "unit_price",
+        F.when(F.col("product_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("unit_cost").cast("double")).alias("unit_cost"),
+        day.alias("day"),
+    )
+    records = to_records(rows).select("record", F.from_json("record", rows.schema).alias("r"))
+    return records.select(
+        "r.*", F.size(F.json_object_keys("record")).alias("fields")
+    ).withColumn("unit_price", F.col("unit_price").cast("double"))
+
+
 # --- files and loads ------------------------------------------------------------------------------------
 
 
@@ -675,7 +740,7 @@ def load_counts(r: Retail) -> DataFrame:
 
 @_query
 def scan_table_counts(r: Retail) -> DataFrame:
-    return profiles.table_counts(r.tables())
+    return profiles.table_counts(r.tables(), {"orders": r.order_headers, "returns": r.return_lines})
 
 
 @_query
@@ -737,6 +802,18 @@ def returned_share_by_city_recent(r: Retail) -> DataFrame:
     return profiles.returned_share_by_city(r.orders, r.return_lines, r.stores, r.as_of, RECENT_MONTHS)
 
 
+@_query
+def returned_share_by_city_ranked(r: Retail) -> DataFrame:
+    """The same cities, the largest share first."""
+    return with_position(returned_share_by_city_recent(r), [F.col("returned_share").desc_nulls_last(), "city"])
+
+
+@_query
+def focus_signups_recent(r: Retail) -> DataFrame:
+    """Signups of the focus city in its newest months."""
+    return profiles.monthly_signups(views.of_city(r.customers, FOCUS_CITY), PIVOT_ORDER_MONTHS)
+
+
 @_query
 def eligible_customers_by_month(r: Retail) -> DataFrame:
     return profiles.eligible_customers(r.customers, r.order_headers)

@@ -958,6 +958,79 @@ _BODIES |= {
         SELECT table_name, loaded, n - loaded AS set_aside FROM sizes) q""",
 }
 
+# Product series on the calendar without gaps.
+CTES |= {
+    "t_p_series": """
+        SELECT product_id AS series_id, month_date AS month, units_sold AS orders, revenue FROM t_product_months""",
+    "t_p_features": CTES["t_features"].replace("t_guarded", "t_p_series"),
+    "t_p_split": CTES["t_split"].replace("t_features", "t_p_features"),
+    "t_p_predicted": """
+        SELECT series_id, 'naive' AS model, revenue AS actual, previous_month_revenue AS predicted FROM t_p_split
+        WHERE split = 'test'
+        UNION ALL SELECT series_id, 'rolling_avg', revenue, m3 FROM t_p_split WHERE split = 'test'""",
+}
+
+
+def product_metrics(mape: str) -> str:
+    return f"""
+        SELECT series_id, model, {half_up("AVG(abs(actual - predicted))", 2)} AS mae,
+               {half_up("sqrt(AVG((actual - predicted) * (actual - predicted)))", 2)} AS rmse, {mape} AS mape_pct
+        FROM t_p_predicted GROUP BY 1, 2"""
+
+
+def percentage_error(of: str) -> str:
+    return half_up(f"AVG(abs(actual - predicted) / abs(actual)) {of} * 100", 2)
+
+
+def missing_of(relation: str) -> str:
+    """(column_name, n): nulls per column, in the order of the columns."""
+    return f"""UNPIVOT (SELECT SUM(CASE WHEN COLUMNS('.*') IS NULL THEN 1 ELSE 0 END) AS '\\0' FROM ({relation}))
+        ON COLUMNS(*) INTO NAME column_name VALUE n"""
+
+
+def missing_list(relation: str) -> str:
+    return f"""COALESCE((SELECT string_agg(column_name || ': ' || CAST(CAST(n AS BIGINT) AS VARCHAR), '; ')
+        FROM ({missing_of(relation)}) m WHERE n > 0), '')"""
+
+
+_BODIES |= {
+    "forecast_product_metrics": product_metrics(f"""
+        CASE WHEN bool_or(actual = 0) THEN CAST('Infinity' AS DOUBLE) ELSE {percentage_error("FILTER (WHERE actual <> 0)")} END"""),
+    "forecast_product_metrics_guarded": product_metrics(percentage_error("FILTER (WHERE actual <> 0)")),
+    "export_records_parsed": """
+        SELECT product_id, '"' || product_name || '\\ ' || chr(10) || chr(9) || 'é/' AS label,
+               CASE WHEN product_id % 5 <> 0 THEN category END AS category, CAST(unit_price AS DOUBLE) AS unit_price,
+               CASE WHEN product_id % 7 <> 0 THEN CAST(unit_cost AS DOUBLE) END AS unit_cost,
+               CAST(DATE '1995-01-01' + CAST(product_id % 2000 AS INT) AS DATE) AS day, CAST(6 AS INTEGER) AS fields
+        FROM r_products""",
+    "product_performance_list_price": f"""
+        SELECT p.* REPLACE ({half_up("COALESCE(s.discount, 0)", 4)} AS average_discount) FROM t_product_performance p
+        LEFT JOIN (SELECT o.product_id, AVG(1 - CAST(o.unit_price AS DOUBLE) / CAST(l.unit_price AS DOUBLE))
+                            FILTER (WHERE 1 - CAST(o.unit_price AS DOUBLE) / CAST(l.unit_price AS DOUBLE) > 1e-6) AS discount
+                   FROM t_sold o JOIN r_products l ON l.product_id = o.product_id GROUP BY 1) s
+               ON s.product_id = p.product_id""",
+    "dq_failed_checks": f"""SELECT table_name, "check", detail FROM ({union([ANALYTICS_CHECKS, FEATURE_CHECKS])}) c
+        WHERE NOT passed""",
+    "dq_feature_missing": union([
+        f"""SELECT '{table}' AS table_name, column_name, CAST(n AS BIGINT) AS missing, {percent("n", size(RELATION_OF[table]))}
+            AS missing_pct FROM ({missing_of(f"SELECT * FROM {RELATION_OF[table]}")}) m"""
+        for table in ("sales_forecasting_features", "customer_features", "product_features", "store_features")
+    ]),
+    "returned_share_by_city_ranked": f"""
+        SELECT *, row_number() OVER (ORDER BY returned_share DESC, city) AS position
+        FROM ({_BODIES["returned_share_by_city_recent"]}) q""",
+    "focus_signups_recent": f"""
+        SELECT * FROM ({_BODIES["monthly_signups_pivot_city"]}) q WHERE city = '{FOCUS}' ORDER BY month DESC LIMIT 6""",
+}
+_ANALYTICS = [t for t in COLUMN_COUNTS if not t.endswith("_features")]
+_BODIES["dq_table_profile"] = f"""
+    SELECT l.table_name, l.row_count, l.column_count, s.status, COALESCE(f.failed, '') AS failed_checks, m.missing_values
+    FROM ({LISTING}) l JOIN ({summary_of(ANALYTICS_CHECKS)}) s ON s.table_name = l.table_name
+    LEFT JOIN (SELECT table_name, string_agg("check" || ': ' || detail, '; ') AS failed FROM ({ANALYTICS_CHECKS}) c
+               WHERE NOT passed GROUP BY 1) f ON f.table_name = l.table_name
+    JOIN ({union([f"SELECT '{t}' AS table_name, {missing_list(_BODIES[t])} AS missing_values" for t in _ANALYTICS])}) m
+      ON m.table_name = l.table_name"""
+
 # The same views, which Spark computes from SQL text.
 _BODIES |= {f"sql_{name}": _BODIES[name] for name in list(_BODIES) if name.startswith("v_")}
 

@@ -129,3 +129,12 @@ def test_zero_revenue_months_have_no_growth(spark):
     rows = [("s", m, 10, 0.0 if i == 7 else 5.0) for i, m in enumerate(months(12))]
     kept = forecast.forecast_features(spark.createDataFrame(rows, SERIES)).select(F.collect_list("month")).first()[0]
     assert months(12)[9] not in kept  # its growth would divide by the zero month
+
+
+def test_a_month_without_revenue_makes_the_unguarded_error_infinite(spark):
+    predicted = spark.createDataFrame(
+        [("a", 0.0, 5.0), ("a", 10.0, 5.0), ("b", 10.0, 5.0)], "series_id string, actual_revenue double, naive_pred double"
+    )
+    plain = {r.series_id: r.mape_pct for r in forecast.forecast_metrics(predicted).collect()}
+    guarded = {r.series_id: r.mape_pct for r in forecast.forecast_metrics(predicted, skip_zero_actuals=True).collect()}
+    assert plain == {"a": float("inf"), "b": 50.0} and guarded == {"a": 50.0, "b": 50.0}

@@ -42,3 +42,12 @@ def test_months(spark):
     assert value(spark, calendar.previous_month(hi)) == d("2024-01-01")
     assert value(spark, calendar.month_label(lo)) == "2023-11"
     assert value(spark, calendar.parse_month(F.lit("2023-11"))) == d("2023-11-01")
+
+
+def test_rounding_of_large_doubles(spark):
+    from shoptally.functions.numeric import half_up
+
+    values = [1e300, -1e21, 123456789012345678.0, 1.005, float("inf"), None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r[0] for r in df.select(half_up(df.v, 2)).collect()] == [1e300, -1e21, 123456789012345678.0, 1.01, float("inf"), None]
+    assert str(spark.sql("SELECT double('NaN') AS v").select(half_up(F.col("v"), 2)).first()[0]) == "nan"

@@ -108,3 +108,22 @@ def test_describe_keeps_columns_apart(spark):
     df = spark.createDataFrame([(i, 100 - i) for i in range(101)], "a int, b int")
     rows = by(profiles.describe(df, ["a", "b"]), "column_name")
     assert rows["a"]["p25"] == 25.0 and rows["b"]["p75"] == 75.0
+
+
+def test_quartiles_with_an_outlier_are_found_in_small_ranges(spark):
+    """One value of 1e300 does not leave all others in one range."""
+    df = spark.range(40_000).selectExpr("CASE WHEN id = 0 THEN 1e300 ELSE 1 + id * 1e-9 END AS x")
+    row = profiles.describe(df, ["x"]).first()
+    values = [1e300, *(1 + i * 1e-9 for i in range(1, 40_000))]
+    assert [row.p25, row.p50, row.p75] == pytest.approx(np.percentile(values, [25, 50, 75]), abs=1e-4)
+    from shoptally.operators.ordering import sorted_in_ranges
+
+    distinct = df.selectExpr("'x' AS column", "x").distinct()
+    sizes = [r["count"] for r in sorted_in_ranges(distinct, ["column", "x"]).groupBy("_o_range").count().collect()]
+    assert max(sizes) < 40_000 / 2
+
+
+def test_newest_signups(spark):
+    df = spark.createDataFrame([(1, "2024-01-05", "A"), (2, "2024-02-05", "A"), (3, "2024-03-05", "A")], "i int, d string, city string")
+    signups = profiles.monthly_signups(df.selectExpr("CAST(d AS DATE) AS signup_date", "city"), 2).collect()
+    assert sorted(str(r.month) for r in signups) == ["2024-02-01", "2024-03-01"]

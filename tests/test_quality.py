@@ -265,3 +265,26 @@ def test_built_tables_pass_their_rules(retail):
     wanted = quality.feature_rules(F.lit(5), F.lit(4), F.lit(4))["customer_features"]
     profile = quality.table_profile("customer_features", features.customer_features(summary), wanted)
     assert quality.table_summary(profile).first().status == "PASS"
+
+
+def test_a_profile_lists_failed_checks_and_missing_values(spark):
+    rows = [(1, 5.0, None), (1, -1.0, "x"), (None, None, None)]
+    df = spark.createDataFrame(rows, "k int, v double, t string")
+    profiles = quality.table_profiles({"t1": (df, quality.TableRules(["k"], ["v"], min_rows=4))})
+    failed = {(r.check, r.detail) for r in quality.failed_checks(profiles).collect()}
+    assert failed == {
+        ("unique primary key ['k']", "1 duplicate(s)"), ("no missing primary key ['k']", "1 missing"),
+        ("v >= 0", "1 negative row(s)"), ("row count >= 4", "3 rows"),
+    }
+    missing = {r.column_name: (r.missing, r.missing_pct) for r in quality.missing_report(profiles).collect()}
+    assert missing == {"k": (1, 33.3), "v": (1, 33.3), "t": (2, 66.7)}
+    (row,) = quality.profile_report(profiles).collect()
+    assert (row.status, row.missing_values) == ("FAIL", "k: 1; v: 1; t: 2")
+    assert row.failed_checks.split("; ")[2] == "v >= 0: 1 negative row(s)"
+
+
+def test_a_profile_of_repeated_rows_counts_each_null(spark):
+    df = spark.createDataFrame([(1, None)] * 3, "k int, v double")
+    rules = quality.TableRules(["k"], whole_row_unique=True)
+    missing = quality.missing_report(quality.table_profiles({"t": (df, rules)})).collect()
+    assert {r.column_name: r.missing for r in missing} == {"k": 0, "v": 3}

@@ -87,3 +87,28 @@ def test_a_damaged_later_file_is_noticed(spark, tmp_path):
     spark.range(100).repartition(1).write.parquet(str(tmp_path / "t"))
     (tmp_path / "t" / "part-99999.parquet").write_bytes(b"PAR1 damaged PAR1")
     assert files.try_load(spark, str(tmp_path / "t"), "id LONG") is None
+
+
+def test_a_second_engine_reads_the_records(spark):
+    """DuckDB takes each field out of the exported JSON; the values are those of the table."""
+    import datetime
+    import decimal
+
+    import duckdb
+
+    text = 'q"uo\\te\n\té/\x01'
+    table = [
+        (1, text, 2.5, decimal.Decimal("12.30"), datetime.date(2024, 2, 29), True),
+        (2, None, math.nan, None, None, None),
+        (3, "", -0.0, decimal.Decimal("-0.01"), datetime.date(1, 1, 1), False),
+        (2**60, "x", 1e300, decimal.Decimal("9999999.99"), datetime.date(9999, 12, 31), True),
+    ]
+    df = spark.createDataFrame(table, "k long, t string, v double, m decimal(9,2), d date, b boolean")
+    records = [r.record for r in files.to_records(df).collect()]
+    fields = {"k": "BIGINT", "t": "VARCHAR", "v": "DOUBLE", "m": "DECIMAL(9,2)", "d": "DATE", "b": "BOOLEAN"}
+    cells = ", ".join(f"CAST(json_extract_string(r, '$.{c}') AS {kind}) AS {c}" for c, kind in fields.items())
+    con = duckdb.connect()
+    found = [con.execute(f"SELECT json_keys(r), {cells} FROM (SELECT CAST(? AS JSON) AS r)", [x]).fetchone() for x in records]
+    assert all(keys == list(fields) for keys, *_ in found)
+    wanted = [tuple(None if isinstance(x, float) and math.isnan(x) else x for x in row) for row in table]
+    assert [row[1:] for row in found] == wanted
