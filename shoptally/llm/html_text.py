@@ -2,7 +2,7 @@
 
 A page is read once into blocks of text, each with the containers that it stands in.  Blocks inside
 menus, headers, footers, side bars, notices, adverts, forms, comments, scripts and the like are no
-content.  What a tag says holds; what only a name of class, id or role says is weighed once the page is
+content.  What a tag says holds; what only a name of class, id or role says, and a form, is weighed once the page is
 read (``_rescued``), so that a wrapper named after a part of the page does not take the article with it.  Every container is scored by its content, its depth and its kind, and the best one gives
 the page's vote: its path of tags and classes, with numbers taken out.  Spark counts the votes of
 each host; the pages are then read again with the winning path of their host.  A page on which
@@ -32,18 +32,21 @@ from shoptally.llm.storage import saved
 from shoptally.llm.words import slices
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>", re.DOTALL
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+|[^<>]*)>", re.DOTALL
 )
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 
 # HTML's element kinds, and names that mark what is not the article.
-RAW = frozenset("script style noscript template iframe textarea title svg math object".split())
+RAW = frozenset("script style noscript template iframe textarea title svg object annotation annotation-xml".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr".split()
+    "small span strike strong sub sup time tt u var wbr math mrow mi mo mn ms mtext mspace mfrac msqrt mroot msub msup "
+    "msubsup munder mover munderover mstyle semantics".split()
 )
+#: Names on these never say that they are no content.
+UNNAMED = INLINE | frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre figure figcaption table caption".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NOT_CONTENT = frozenset("head nav footer aside form button select dialog menu".split())
+NOT_CONTENT = frozenset("head nav footer aside button select dialog menu".split())
 NOT_CONTENT_NAMES = frozenset(
     "ad ads advert adverts advertisement banner sponsor sponsored promo sidebar nav navbar navigation menu breadcrumb "
     "breadcrumbs footer header masthead cookie cookies consent notice notices popup modal newsletter subscribe share "
@@ -53,6 +56,9 @@ CONTAINERS = frozenset("body main article section div td center".split())
 MAIN = frozenset("article main".split())
 CLOSES_ITSELF = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
                  "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+#: A broadcast table of paths takes so many bytes at most, and a row of it so many besides its texts.
+BROADCAST_BYTES = 8 << 20
+ROW_BYTES = 64
 #: Where an open item is not closed by the next one.
 SCOPES = frozenset("ul ol dl table tbody thead body article section div main".split())
 
@@ -70,16 +76,21 @@ class Page(NamedTuple):
 
 
 def _names(attributes: str) -> tuple[list[str], list[str], list[str]]:
-    """Words of class; words of class, id and role and what they begin with; their other parts."""
+    """Words of class; words of class, id and role and what those of class begin with; their other parts.
+
+    Of an id only the whole counts: headings' texts make ids (search-algorithms).
+    """
     classes, every, others = [], [], []
     if "=" in attributes:
         for kind, *values in NAMED.findall(attributes):
             words = "".join(values).lower().split()
-            if kind.lower() == "class":
-                classes += words
+            every += words
+            if kind.lower() != "class":
+                continue
+            classes += words
             for w in words:
                 first, *parts = re.split(r"[-_]", w)
-                every += [w, first]
+                every.append(first)
                 others += parts
     return classes, every, others
 
@@ -186,8 +197,11 @@ def read(html: str) -> Page:
             continue
         classes, names, others = _names(m[3])
         bad = tag in NOT_CONTENT
-        named = not NOT_CONTENT_NAMES.isdisjoint(names)
-        marked = not bad and (named or not NOT_CONTENT_NAMES.isdisjoint(others))
+        named = tag != "form" and not NOT_CONTENT_NAMES.isdisjoint(names)
+        # A form may be around the whole page, so it is weighed as if a part of its name marked it.
+        marked = not bad and (tag == "form" or named or not NOT_CONTENT_NAMES.isdisjoint(others))
+        if tag in UNNAMED:
+            marked = False
         if tag == "header":
             bad, marked = not any(e.tag in MAIN for e, _, _ in open_elements), False
         if tag in ("html", "body") or tag in MAIN:
@@ -277,8 +291,12 @@ def host_paths(pages: DataFrame) -> DataFrame:
     return counted.groupBy("host").agg(F.max(F.struct("votes", "content", "path")).alias("best")).select("host", "best.path")
 
 
-def main_texts(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars of every page."""
+def main_texts(pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """page_id, url, text, n_chars of every page.
+
+    Pages stay where they are if the paths of all hosts take ``broadcast_bytes`` at most, which is looked up; else
+    both sides are shuffled by host, where Spark splits the partition of a hot host.
+    """
     id_type = pages.schema["page_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,5 +308,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])
 
     hosted = pages.select("page_id", "url", "html", _host(F.col("url")).alias("host"))
-    joined = hosted.join(saved(host_paths(pages)), "host", "left").select("page_id", "url", "html", "path")
+    paths = saved(host_paths(pages))
+    size = paths.agg(F.sum(F.octet_length("host") + F.octet_length("path") + ROW_BYTES)).first()[0] or 0
+    joined = hosted.join(F.broadcast(paths) if size <= broadcast_bytes else paths, "host", "left").select("page_id", "url", "html", "path")
     return joined.mapInArrow(cut, f"page_id {id_type}, url string, text string, n_chars long")
