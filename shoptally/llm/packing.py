@@ -36,8 +36,8 @@ CAPACITY = 4096
 END_ID = 1
 CHUNKS = 1024
 #: Parts of words whose ids a worker remembers, and bytes of text that it takes apart at once.
-CACHED_PARTS = 1_000_000
-TEXT_BYTES = 8 << 20
+CACHED_PARTS = 400_000
+TEXT_BYTES = 4 << 20
 #: Signs that end a word; none of them begins a contraction or a special token's last part.
 SIGNS = ".,;:!?#$%&*()"
 #: Fillings that the search chooses in all, and steps that their enumeration takes in all.
@@ -57,7 +57,8 @@ def default_tokenizer() -> str:
 
 # --- tokens ---------------------------------------------------------------------------------------
 
-_PARTS: dict[str, dict[str, bytes]] = {}
+#: Of each tokenizer the ids of parts seen lately, and of those seen before that.
+_PARTS: dict[str, list[dict[str, bytes]]] = {}
 
 
 class WordIds:
@@ -73,7 +74,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known = _PARTS.setdefault(path, {})
+        self.known = _PARTS.setdefault(path, [{}, {}])
 
     def __call__(self, texts: pa.Array | list[str]) -> Iterator[bytes]:
         texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
@@ -99,15 +100,15 @@ class WordIds:
 
     def _ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all parts in one array, and where each part's begin."""
-        known = self.known
-        missing = [p for p in parts if p not in known]
+        recent, older = self.known
+        missing = [p for p in parts if p not in recent and p not in older]
         if missing:
-            if len(known) + len(missing) > CACHED_PARTS:
-                known.clear()
-                missing = parts
             encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-            known.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(missing, encoded, strict=True))
-        found = [known[p] for p in parts]
+            recent.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(missing, encoded, strict=True))
+        found = [recent[p] if p in recent else older[p] for p in parts]
+        recent.update(zip(parts, found, strict=True))
+        if 2 * len(recent) > CACHED_PARTS:
+            self.known[:] = {}, recent
         starts = np.cumsum([0, *map(len, found)]) // 4
         return np.frombuffer(b"".join(found), "<u4"), starts
 
