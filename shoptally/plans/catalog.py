@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from shoptally.functions.calendar import parse_month, previous_month
 from shoptally.functions.numeric import half_up
 from shoptally.operators import analytics, features, forecast, profiles, quality, serving, views
+from shoptally.operators.facts import order_totals
 from shoptally.operators.ordering import with_position
 from shoptally.plans import sql_views
 from shoptally.sources.csv_scan import CsvScan, scan_csv
 from shoptally.sources.files import save_table, to_records
 from shoptally.sources.loads import Loads
 from shoptally.sources.retail import Retail
-from shoptally.sources.scratch import shared_folder
+from shoptally.sources.scratch import saved, shared_folder
 
 Query = Callable[[Retail], DataFrame]
 
@@ -384,73 +385,106 @@ def dq_category_summary(r: Retail) -> DataFrame:
     return quality.category_summary(_battery(r))
 
 
-ANALYTICS_TABLES = (
-    customer_summary,
-    daily_sales,
-    monthly_sales,
-    product_performance,
-    product_monthly_sales,
-    store_performance,
-    inventory_health,
-    marketing_performance,
-    returns_summary,
-)
-FEATURE_TABLES = (sales_forecasting_features, customer_features, product_features, store_features)
-
+def built_tables(r: Retail) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The nine analytics and four feature tables on facts that are computed once and kept.
 
-def _analytics_profiles(r: Retail) -> DataFrame:
+    Lines are read for two of the facts, whatever the number of tables.
+    """
+    first, last = r.order_headers.agg(F.min("order_date")).scalar(), previous_month(r.as_of)
+    totals = saved(order_totals(r.order_items))
+    sales = saved(analytics.product_sales(r.order_headers, r.order_items, r.products, by_month=True))
+    daily = saved(analytics.daily_sales(r.orders, totals, r.stores))
+    monthly = saved(analytics.monthly_sales(daily, r.order_headers, r.as_of))
+    built = {
+        "customer_summary": analytics.customer_summary(r.customers, r.order_headers, totals, r.as_of),
+        "daily_sales": daily,
+        "monthly_sales": monthly,
+        "product_performance": analytics.product_performance(r.products, sales, r.return_lines),
+        "product_monthly_sales": analytics.product_monthly_sales(r.products, sales, r.returns, first, last),
+        "store_performance": analytics.store_performance(r.stores, r.orders, totals, r.return_lines),
+        "inventory_health": analytics.inventory_health(
+            r.products, r.inventory, r.order_headers, r.order_items, r.as_of, r.latest_snapshot
+        ),
+        "marketing_performance": analytics.marketing_performance(r.marketing_campaigns, r.orders, totals, r.stores),
+        "returns_summary": analytics.returns_summary(r.products, r.return_lines, sales),
+    }
+    begin = F.add_months(last, -2)
+    recent = analytics.product_monthly_sales(
+        r.products, sales.where(F.col("month") >= begin), r.returns.where(F.col("return_date") >= begin), begin, last
+    )
+    features_of = {
+        "sales_forecasting_features": features.sales_forecasting_features(monthly),
+        "customer_features": features.customer_features(built["customer_summary"]),
+        "product_features": features.product_features(
+            built["product_performance"], built["inventory_health"], recent, r.as_of
+        ),
+        "store_features": features.store_features(built["store_performance"], daily, r.as_of),
+    }
+    return built, features_of
+
+
+def _analytics_profiles(r: Retail, tables: dict[str, DataFrame]) -> DataFrame:
     rules = quality.analytics_rules(
         r.customers, r.stores, r.products, r.marketing_campaigns, r.order_headers, r.as_of
     )
-    return quality.table_profiles({t.__name__: (t(r), rules[t.__name__]) for t in ANALYTICS_TABLES})
+    return quality.table_profiles({name: (df, rules[name]) for name, df in tables.items()})
 
 
-def _feature_profiles(r: Retail) -> DataFrame:
+def _feature_profiles(r: Retail, tables: dict[str, DataFrame]) -> DataFrame:
     def size(df: DataFrame):
         return df.agg(F.count(F.lit(1))).scalar()
 
     rules = quality.feature_rules(size(r.customers), size(r.products), size(r.stores))
-    return quality.table_profiles({t.__name__: (t(r), rules[t.__name__]) for t in FEATURE_TABLES})
+    return quality.table_profiles({name: (df, rules[name]) for name, df in tables.items()})
+
+
+def _profiles(r: Retail, which: str = "all") -> DataFrame:
+    built, features_of = built_tables(r)
+    if which == "analytics":
+        return _analytics_profiles(r, built)
+    if which == "features":
+        return _feature_profiles(r, features_of)
+    return _analytics_profiles(r, built).unionByName(_feature_profiles(r, features_of))
 
 
 @_query
 def dq_table_summary(r: Retail) -> DataFrame:
-    return quality.table_summary(_analytics_profiles(r))
+    return quality.table_summary(_profiles(r, "analytics"))
 
 
 @_query
 def dq_feature_table_summary(r: Retail) -> DataFrame:
-    return quality.table_summary(_feature_profiles(r))
+    return quality.table_summary(_profiles(r, "features"))
 
 
 @_query
 def dq_table_checks(r: Retail) -> DataFrame:
-    return quality.table_checks(_analytics_profiles(r))
+    return quality.table_checks(_profiles(r, "analytics"))
 
 
 @_query
 def dq_feature_table_checks(r: Retail) -> DataFrame:
-    return quality.table_checks(_feature_profiles(r))
+    return quality.table_checks(_profiles(r, "features"))
 
 
 @_query
 def dq_failed_checks(r: Retail) -> DataFrame:
-    return quality.failed_checks(_analytics_profiles(r).unionByName(_feature_profiles(r)))
+    return quality.failed_checks(_profiles(r))
 
 
 @_query
 def dq_feature_missing(r: Retail) -> DataFrame:
-    return quality.missing_report(_feature_profiles(r))
+    return quality.missing_report(_profiles(r, "features"))
 
 
 @_query
 def dq_table_profile(r: Retail) -> DataFrame:
-    return quality.profile_report(_analytics_profiles(r))
+    return quality.profile_report(_profiles(r, "analytics"))
 
 
 @_query
 def dq_final_listing(r: Retail) -> DataFrame:
-    return quality.final_listing(_analytics_profiles(r).unionByName(_feature_profiles(r)))
+    return quality.final_listing(_profiles(r))
 
 
 # --- forecasts, one series per city -----------------------------------------------------------------
