@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shoptally.llm import mixing, near_dups, packing, quality_rules, secrets
-from shoptally.llm.storage import shared_folder
+from shoptally.sources.scratch import shared_folder
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,10 +49,15 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each written as Parquet to the shared folder and read again by the next."""
+    """All stages, each written as Parquet to the shared folder and read again by the next.
+
+    A stage's rows are cleared once the next stage has written its own; the last stage's stay.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}"
     for number, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
+        if number:
+            spark.createDataFrame([], docs.schema).write.mode("overwrite").parquet(f"{folder}/{number - 1}")
         docs = spark.read.parquet(f"{folder}/{number}")
     return docs
