@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Tables in the checkpoint folder go once nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Recording the Python call site of every column costs more than building most plans here.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
