@@ -565,14 +565,16 @@ def _joined(spans: str) -> Column:
     return F.array_join(text, ",")
 
 
+def _number_of(spans: str, kind: int) -> Column:
+    # One parameter only: Spark would give a second one the place of the element.
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def report(docs: DataFrame) -> DataFrame:
     found = all_spans(docs, learn(docs))
     return found.select(
         "doc_id",
-        *(
-            F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
-            for k in range(3)
-        ),
+        *(_number_of("base", k).alias(f"n_{KINDS[k]}") for k in range(3)),
         F.sha2(_joined("base"), 256).alias("base_sha256"),
         _joined("spans").alias("spans"),
     )
