@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoptally.functions.frames import dealt
 from shoptally.sources.files import read_table
 from shoptally.sources.retail import Retail
 from shoptally.sources.schemas import PRIMARY_KEYS
@@ -154,15 +155,17 @@ class StarSchemaRetail(Retail):
         )
 
     def _inventory(self) -> DataFrame:
+        """Nearly every line is a snapshot of its own, so lines are not combined before they are shuffled."""
+        lines = self._source("lineitem").selectExpr(
+            "CAST(l_suppkey % 50 AS BIGINT) AS store_id",
+            "l_partkey AS product_id",
+            "trunc(l_shipdate, 'month') AS snapshot_date",
+            "l_quantity",
+        )
+        key = ("store_id", "product_id", "snapshot_date")
         return (
-            self._source("lineitem")
-            .selectExpr(
-                "CAST(l_suppkey % 50 AS BIGINT) AS store_id",
-                "l_partkey AS product_id",
-                "trunc(l_shipdate, 'month') AS snapshot_date",
-                "l_quantity",
-            )
-            .groupBy("store_id", "product_id", "snapshot_date")
+            dealt(lines, *key)
+            .groupBy(*key)
             .agg(F.sum("l_quantity").alias("shipped"))
             .selectExpr(
                 "store_id",
