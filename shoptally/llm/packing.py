@@ -57,8 +57,42 @@ def default_tokenizer() -> str:
 
 # --- tokens ---------------------------------------------------------------------------------------
 
-#: Of each tokenizer the ids of parts seen lately, and of those seen before that.
-_PARTS: dict[str, list[dict[str, bytes]]] = {}
+class Parts:
+    """Parts of words that are remembered, by their number, and the ids of all of them in one array.
+
+    Beyond ``CACHED_PARTS`` those go that fewest batches looked up, down to half as many or less.
+    """
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids = np.zeros(0, "<u4")
+        self.starts = np.zeros(1, np.int64)
+        self.batches = np.zeros(0, np.uint8)
+
+    def add(self, parts: list[str], encoded: list[list[int]]) -> None:
+        ids = np.fromiter(itertools.chain.from_iterable(encoded), "<u4")
+        ends = self.starts[-1] + np.cumsum(np.fromiter(map(len, encoded), np.int64, len(encoded)))
+        self.ids, self.starts = np.append(self.ids, ids), np.append(self.starts, ends)
+        self.batches = np.append(self.batches, np.zeros(len(parts), np.uint8))
+        self.number.update(zip(parts, range(len(self.number), len(self.batches)), strict=True))
+
+    def look_up(self, parts: list[str]) -> np.ndarray:
+        at = np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
+        self.batches[at] = np.minimum(self.batches[at], 254) + 1
+        return at
+
+    def forget(self) -> None:
+        kept = (np.flatnonzero(self.batches >= least) for least in range(2, 257))
+        kept = next(k for k in kept if 2 * len(k) <= CACHED_PARTS)
+        length = np.diff(self.starts)[kept]
+        names = list(self.number)
+        self.number = {names[k]: i for i, k in enumerate(kept.tolist())}
+        self.ids = self.ids[_places(self.starts[kept], length)]
+        self.starts, self.batches = np.append(0, np.cumsum(length)), np.ones(len(kept), np.uint8)
+
+
+#: Of each tokenizer what a worker remembers.
+_PARTS: dict[str, Parts] = {}
 
 
 class WordIds:
@@ -74,43 +108,49 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known = _PARTS.setdefault(path, [{}, {}])
+        self.known = _PARTS.setdefault(path, Parts())
 
     def __call__(self, texts: pa.Array | list[str]) -> Iterator[bytes]:
         texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
         if not len(texts):
             return
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
-        rows = 2 * (split.offsets.to_numpy() - split.offsets[0].as_py())
+        rows = split.offsets.to_numpy() - split.offsets[0].as_py()
         words = split.flatten().dictionary_encode()
         cores, signs = (part.dictionary_encode() for part in taken_apart(words.dictionary))
-        ids, starts = self._ids(cores.dictionary.to_pylist() + signs.dictionary.to_pylist())
-        # Every word is a core and signs; where the ids of each part go follows from their lengths, summed up.
+        ids, starts, length = self._ids(cores.dictionary.to_pylist() + signs.dictionary.to_pylist())
+        # Every distinct word is a core and signs; every word of the texts is a distinct word.
+        part = np.empty(2 * len(words.dictionary), np.int32)
+        part[0::2] = cores.indices.to_numpy()
+        part[1::2] = signs.indices.to_numpy() + len(cores.dictionary)
+        ids = ids[_places(starts[part], length[part])]
+        of_word = length[part].reshape(-1, 2).sum(axis=1)
+        begins = np.cumsum(of_word) - of_word
         word = words.indices.to_numpy()
-        part = np.empty(2 * len(word), np.int64)
-        part[0::2] = cores.indices.to_numpy()[word]
-        part[1::2] = signs.indices.to_numpy()[word] + len(cores.dictionary)
-        length = np.diff(starts)[part]
-        ends = np.cumsum(length)
-        at = np.repeat(starts[:-1][part] - (ends - length), length)
-        at += np.arange(len(at))
-        out = ids[at]
-        for a, b in itertools.pairwise(np.append(0, ends)[rows].tolist()):
+        length = of_word[word]
+        out = ids[_places(begins[word], length)]
+        ends = np.append(0, np.cumsum(length))[rows]
+        for a, b in itertools.pairwise(ends.tolist()):
             yield out[a:b].tobytes()
 
-    def _ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all parts in one array, and where each part's begin."""
-        recent, older = self.known
-        missing = [p for p in parts if p not in recent and p not in older]
+    def _ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where those of each part begin among them and how many they are."""
+        known = self.known
+        if len(known.number) > CACHED_PARTS:
+            known.forget()
+        missing = [p for p in dict.fromkeys(parts) if p not in known.number]
         if missing:
-            encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-            recent.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(missing, encoded, strict=True))
-        found = [recent[p] if p in recent else older[p] for p in parts]
-        recent.update(zip(parts, found, strict=True))
-        if 2 * len(recent) > CACHED_PARTS:
-            self.known[:] = {}, recent
-        starts = np.cumsum([0, *map(len, found)]) // 4
-        return np.frombuffer(b"".join(found), "<u4"), starts
+            known.add(missing, [e.ids for e in self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)])
+        at = known.look_up(parts)
+        return known.ids, known.starts[at], known.starts[at + 1] - known.starts[at]
+
+
+def _places(starts: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Where the ids of all parts stand, one part after the other."""
+    ends = np.cumsum(length, dtype=np.int64)
+    at = np.repeat(starts - (ends - length), length)
+    at += np.arange(len(at))
+    return at
 
 
 def taken_apart(words: pa.Array) -> tuple[pa.Array, pa.Array]:
@@ -505,7 +545,7 @@ def complete_bins(
 # --- placing --------------------------------------------------------------------------------------
 
 
-def _places(plan: list[tuple[Filling, int]]) -> dict[str, np.ndarray]:
+def _lookup(plan: list[tuple[Filling, int]]) -> dict[str, np.ndarray]:
     """One row per length in a filling: which ranks of that length go where."""
     size, start, each, base, offset = [], [], [], [], []
     used: dict[int, int] = {}
@@ -534,7 +574,7 @@ def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     cut = cut.withColumn("_p_chunk", F.pmod(F.xxhash64("_p_row"), F.lit(CHUNKS)).cast("int"))
     parts = cut.groupBy("length", "_p_chunk").agg(F.count(F.lit(1)).alias("_p_n"))
     counts = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.sum("_p_n").alias("n")).collect()}
-    table = cut.sparkSession.sparkContext.broadcast(_places(complete_bins(counts, capacity)))
+    table = cut.sparkSession.sparkContext.broadcast(_lookup(complete_bins(counts, capacity)))
     # Ranks among pieces of one length: where a chunk begins, and the place in the chunk.
     in_length = Window.partitionBy("length").orderBy("_p_chunk")
     begins = parts.select("length", "_p_chunk", (F.sum("_p_n").over(in_length) - F.col("_p_n")).alias("_p_begin"))

@@ -33,6 +33,32 @@ def test_random_strings(ids_of):
     assert differing(ids_of, texts) == []
 
 
+def test_what_batches_share_is_remembered(monkeypatch):
+    """Parts of one batch make way for parts of several, and ids stay those of the tokenizer."""
+    monkeypatch.setattr(packing, "_PARTS", {})
+    monkeypatch.setattr(packing, "CACHED_PARTS", 400)
+    ids_of, encoded = packing.WordIds(public_tokenizers.path("word_bpe_49k.json")), []
+
+    class Watched:
+        def __getattr__(self, name):
+            return getattr(ids_of_tokenizer, name)
+
+        def encode_batch_fast(self, parts, **how):
+            encoded.extend(parts)
+            return ids_of_tokenizer.encode_batch_fast(parts, **how)
+
+    ids_of_tokenizer, ids_of.tokenizer = ids_of.tokenizer, Watched()
+    r = random.Random(8)
+    shared = ["".join(r.choices("abcdef", k=7)) + "zz" for _ in range(100)]
+    for k in range(20):
+        own = [f"{''.join(r.choices('ghijkl', k=8))}" for _ in range(150)]
+        texts = [" ".join([*shared, *own[:75]]) + ".", " ".join(own[75:]), ""]
+        found = [np.frombuffer(b, "<u4").tolist() for b in ids_of(texts)]
+        assert found == [e.ids for e in ids_of_tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        assert len(ids_of.known.number) <= 400 + 300
+    assert all(encoded.count(p) == 1 for p in shared)
+
+
 def test_the_search_keeps_few_tables(monkeypatch):
     sizes = np.random.default_rng(3).integers(1, 4096, 60_000)
     counts = {int(s): int(n) for s, n in zip(*np.unique(sizes, return_counts=True))}
