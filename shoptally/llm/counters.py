@@ -14,7 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 SLOTS = 1 << 19
-PARTS = 16
+#: So many that a batch of Arrow, of 10,000 rows, is small: a part comes from every task.
+PARTS = 512
 SCHEMA = "part int, counts binary"
 
 
